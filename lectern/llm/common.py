@@ -114,3 +114,22 @@ def grouped(batches, key: str):
 
 def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """White-space tokens of texts: codes end to end, each text's bounds, and the strings of the codes."""
+    words = pc.utf8_split_whitespace(texts(column))
+    offsets = words.offsets.to_numpy().astype(np.int64)
+    flat = words.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+    return flat.indices.to_numpy(zero_copy_only=False).astype(np.int64), offsets - offsets[0], flat.dictionary.to_pylist()
+
+
+def learnable(docs: DataFrame, id: str) -> DataFrame:
+    """``held_out`` marks rows whose crc32 of the id as text is 1 modulo 3; null ids are neither held out nor learnt from."""
+    r = F.crc32(F.col(f"`{id}`").cast("string").cast("binary")) % 3
+    return docs.withColumn("held_out", F.coalesce(r == 1, F.lit(False))).withColumn("_learn", F.coalesce(r != 1, F.lit(False)))
+
+
+def share(*columns: str, seed: str):
+    """A fixed pseudo-random number from 0 to 1 of each row."""
+    return (F.xxhash64(*columns, F.lit(seed)).bitwiseAND(F.lit((1 << 52) - 1))) / F.lit(float(1 << 52))

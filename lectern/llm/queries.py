@@ -2,16 +2,51 @@
 
 from __future__ import annotations
 
-from .common import table
+from pyspark.sql import functions as F
+
+from . import bpe, langid, packing, toxicity
+from .common import learnable, table
 from .jaccard import jaccard_components
 
 
+def tokenizer(name: str) -> str:
+    """Where a public tokenizer's file is."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_best_fit_packing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return packing.pack_documents(docs, tokenizer("byte_bpe_50k.json")).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op2_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    found = langid.identify(learnable(docs.select("doc_id", "text"), "doc_id"), langid.train(docs))
+    return found.select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"), F.col("lang_rejected").alias("rejected"))
+
+
+def op3_bpe_encode_decode(spark, sf_dir):
+    return bpe.encode_documents(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer("word_bpe_49k.json"))
+
+
 def op9_ngram_jaccard_join(spark, sf_dir):
     return jaccard_components(table(spark, sf_dir, "documents", "doc_id", "text"), k=3, percent=90)
 
 
+def op10_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic")
+    scored = toxicity.toxicity(learnable(docs, "doc_id"), toxicity.train(docs, labels))
+    return scored.select("doc_id", "held_out", F.col("toxic_score").alias("score"), (F.col("toxic_score") >= 0.7).cast("int").alias("predicted"), F.col("toxic_evidence").alias("evidence"))
+
+
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_language_id": op2_language_id,
+    "op3_bpe_encode_decode": op3_bpe_encode_decode,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE: dict[str, str] = {}
