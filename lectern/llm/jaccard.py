@@ -71,6 +71,17 @@ def shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     return out[first], np.concatenate([[0], np.cumsum(first)])[bounds]
 
 
+def _six(h: np.ndarray) -> np.ndarray:
+    """The low six bytes of hashes: beside the column block they tell a row's columns apart."""
+    return np.ascontiguousarray(h.view(np.uint8).reshape(-1, 8)[:, :6]).ravel()
+
+
+def _eight(b: np.ndarray, block: int) -> np.ndarray:
+    out = np.zeros((len(b) // 6, 8), np.uint8)
+    out[:, :6] = b.reshape(-1, 6)
+    return out.view(U64).ravel() | U64(block) << U64(48)
+
+
 def _incidence(k: int, blocks: int, buckets: int):
     """Stage 1: rows (key, blob): key >= 0 a column block, key < 0 facts about the rows of a bucket."""
 
@@ -102,7 +113,7 @@ def _incidence(k: int, blocks: int, buckets: int):
                 for x, y in zip(cut[:-1], cut[1:]):
                     r = runs(row[x:y])
                     keys.append(int(block[order[x]]))
-                    blobs.append(pack(uid[row[x + r[:-1]]], np.diff(r).astype(np.int32), sets[order[x:y]]))
+                    blobs.append(pack(uid[row[x + r[:-1]]], np.diff(r).astype(np.int32), _six(sets[order[x:y]])))
                 yield rows_of(schema, np.array(keys, np.int32), blobs)
 
     return run
@@ -119,14 +130,14 @@ def _columns(buckets: int):
                 for x in blobs:
                     yield rows_of(schema, np.array([-1 - key], np.int32), np.array([0], np.int8), [x])
                 continue
-            read = [unpack(x, U64, np.int32, U64) for x in blobs]
+            read = [unpack(x, U64, np.int32, np.uint8) for x in blobs]
             uid = np.concatenate([np.repeat(u, c) for u, c, _ in read])
-            h = np.concatenate([x[2] for x in read])
+            h = _eight(np.concatenate([x[2] for x in read]), key)
             del read, blobs
             order = np.argsort(h)
             cut = runs(h[order])
             df = np.repeat(np.diff(cut), np.diff(cut))
-            order, df = order[df > 1], df[df > 1].astype(np.uint32)
+            order, df = order[df > 1], np.minimum(df[df > 1], 65_535).astype(np.uint16)
             uid, h = uid[order], h[order]
             bucket = (uid % U64(buckets)).astype(np.uint16)
             order = np.lexsort((uid, bucket))
@@ -134,7 +145,7 @@ def _columns(buckets: int):
             cut = runs(bucket)
             for x, y in zip(cut[:-1], cut[1:]):
                 r = runs(uid[x:y])
-                yield rows_of(schema, np.array([bucket[x]], np.int32), np.array([1], np.int8), [pack(uid[x + r[:-1]], np.diff(r).astype(np.int32), h[x:y], df[x:y])])
+                yield rows_of(schema, np.array([bucket[x]], np.int32), np.array([1], np.int8), [pack(uid[x + r[:-1]], np.diff(r).astype(np.int32), _six(h[x:y]), df[x:y], np.array([key], np.int32))])
 
     return run
 
@@ -148,7 +159,7 @@ def _rows(percent: int):
             kinds = [k for b in held for k in b.column("kind").to_pylist()]
             blobs = [x for b in held for x in b.column("blob").to_pylist()]
             facts = [unpack(x, U64, np.int64, np.uint8, np.int32, np.uint8) for k, x in zip(kinds, blobs) if k == 0]
-            entries = [unpack(x, U64, np.int32, U64, np.uint32) for k, x in zip(kinds, blobs) if k == 1]
+            entries = [unpack(x, U64, np.int32, np.uint8, np.uint16, np.int32) for k, x in zip(kinds, blobs) if k == 1]
             del blobs
             uid, ids, null, n, digest = (np.concatenate([f[i] for f in facts]) for i in range(5))
             digest = digest.reshape(-1, 16)
@@ -156,7 +167,7 @@ def _rows(percent: int):
             if entries:
                 size = dict(zip(uid.tolist(), n.tolist()))
                 u = np.concatenate([np.repeat(e[0], e[1]) for e in entries])
-                h = np.concatenate([e[2] for e in entries])
+                h = np.concatenate([_eight(e[2], int(e[4][0])) for e in entries])
                 df = np.concatenate([e[3] for e in entries])
                 order = np.argsort(u, kind="stable")
                 u, h, df = u[order], h[order], df[order]
