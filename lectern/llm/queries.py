@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, chat, html, langid, packing, topk, toxicity, vptree
+from . import bpe, chat, dedup, html, langid, packing, topk, toxicity, vptree
 from .common import learnable, table
 from .jaccard import jaccard_components
 
@@ -35,6 +35,10 @@ def op4_exact_top_k(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), every=50, k=5, scale=256)
 
 
+def op5_suffix_array_dedup(spark, sf_dir):
+    return dedup.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), width=50)
+
+
 def op6_html_extraction(spark, sf_dir):
     return html.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
@@ -64,6 +68,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_bpe_encode_decode": op3_bpe_encode_decode,
     "op4_exact_top_k": op4_exact_top_k,
+    "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_html_extraction": op6_html_extraction,
     "op7_vp_tree_neighbours": op7_vp_tree_neighbours,
     "op8_preference_pairs": op8_preference_pairs,
