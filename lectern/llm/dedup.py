@@ -359,7 +359,7 @@ def _sorted(buckets: int, width: int):
     return run
 
 
-RESULT = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+RESULT = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text_crc32 long, kept binary, kept_text string"
 
 
 def _finish(keep: bool):
@@ -371,7 +371,7 @@ def _finish(keep: bool):
             who, check, lo, hi = unpack(blob, np.int64, np.uint32, np.uint32, np.uint32)
             for w, c, a, b in zip(who.tolist(), check.tolist(), lo.tolist(), hi.tolist()):
                 spans.setdefault((w, c), []).append((a, b))
-        out = [[], [], [], [], [], []]
+        out = [[] for _ in range(8)]
         for w, null, data in _open(left):
             cut = sorted(spans.get((w, zlib.crc32(data)), ())) if not null and spans else []
             kept, at, removed, n = [], 0, 0, 0
@@ -387,16 +387,17 @@ def _finish(keep: bool):
                     end = b
             kept.append(data[max(end, 0) :])
             rest = b"".join(kept)
-            for o, x in zip(out, (None if null else w, len(data), removed, n, hashlib.sha256(rest).hexdigest(), rest if keep else None)):
+            for o, x in zip(out, (None if null else w, len(data), removed, n, hashlib.sha256(rest).hexdigest(), zlib.crc32(data), rest if keep else None, rest.decode("utf-8", "ignore") if keep else None)):
                 o.append(x)
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-        return pa.table([pa.array(o, t) for o, t in zip(out, kinds)], names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.string())
+        return pa.table([pa.array(o, t) for o, t in zip(out, kinds)], names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text_crc32", "kept", "kept_text"])
 
     return run
 
 
 def remove_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text", width: int = WIDTH, k: int = K, block_bytes: int = BLOCK_BYTES, keep: bool = False) -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256) of every row, with ``keep`` also the bytes kept.
+    """(id, n_bytes, n_removed, n_spans, kept_sha256) of every row, with ``keep`` also
+    text_crc32 of the input, the bytes kept and their text without broken characters.
 
     Removed is each byte under a ``width``-byte string that also starts in a row with a smaller id, judged on the
     input; n_spans counts maximal removed runs. A null text is empty. Rows with a null id are kept whole and
@@ -415,5 +416,5 @@ def remove_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text", w
     exact = fetched.repartition(p, "block").sortWithinPartitions("block").mapInArrow(_sorted(blocks, width), small)
     spans = found.where("kind = 1").unionByName(exact).repartition(p, "bucket")
     done = held.cogroup(spans.groupBy("bucket")).applyInArrow(_finish(keep), RESULT)
-    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * keep]
+    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", *["text_crc32", "kept", "kept_text"] * keep]
     return done.select(F.col("id").alias(id), *names)
