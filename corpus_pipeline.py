@@ -1,13 +1,59 @@
-"""Corpus pipeline: the stages that turn documents into packed training sequences."""
+"""Corpus pipeline: from documents to packed training sequences, each stage one operator of lectern.llm."""
 
 from __future__ import annotations
 
-STAGES: list = []
-ORACLE_SQL = None
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lectern.llm import dedup, jaccard, langid, packing, toxicity
+from lectern.llm.common import table
+from lectern.llm.queries import tokenizer
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that score 0.7 or more; learnt from the labels of those that come in."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return toxicity.toxicity(docs, model).where("toxic_score < 0.7").select(docs.columns)
+
+
+def drop_unknown_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that no language model accepts."""
+    return langid.identify(docs, langid.train(docs)).where("not lang_rejected").select(docs.columns)
+
+
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by a Jaccard similarity of 0.8 of word 5-shingles, the one with the smallest id."""
+    found = jaccard.jaccard_components(docs, k=5, percent=80)
+    return docs.join(found.where("component_id < doc_id").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the bytes of 50-byte strings that also start in a document with a smaller id.
+
+    A character that loses a byte is left out; a document may end up empty and stays."""
+    kept = dedup.remove_repeats(docs, keep=True).select(F.col("doc_id").alias("_id"), F.col("text_crc32").alias("_crc"), "kept_text").dropDuplicates(["_id", "_crc"])
+    rest = docs.withColumn("_crc", F.crc32(F.coalesce("text", F.lit("")).cast("binary"))).drop("text", "n_chars")
+    joined = rest.join(kept, rest["doc_id"].eqNullSafe(kept["_id"]) & (rest["_crc"] == kept["_crc"]))
+    return joined.withColumn("text", F.col("kept_text")).withColumn("n_chars", F.length("kept_text").cast("long")).select(docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of at most 1024 tokens."""
+    return packing.pack_documents(docs, tokenizer("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("language_id", drop_unknown_languages),
+    ("ngram_jaccard", keep_one_of_near_copies),
+    ("suffix_dedup", cut_repeats),
+    ("packing", pack),
+]
+
+ORACLE_SQL = None  # SQL expresses none of the learnt stages; tests hold the pipeline against brute force
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source", "n_chars")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
     return docs
