@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import StringType
 
 # White space as the tokeniser sees it, besides what (?U)\s matches.
 SPACE = r"(?U)[\s\x1c-\x1f]+"
@@ -88,7 +89,7 @@ def without_markup(text: Column) -> Column:
 FOLD = {"״": '"', "“": '"', "”": '"', "„": '"', "׳": "'", "‘": "'", "’": "'", "‚": "'", "–": "-", "—": "-", "־": "-", "•": ".", "׃": ":", ";": ":"}
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def folded(text: pd.Series) -> pd.Series:
     """NFKC, one form of quotes, dashes and stops, and no outer punctuation of words."""
     table = str.maketrans(FOLD)

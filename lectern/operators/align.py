@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql.types import DoubleType
 
 OPCODES = "tag string, i1 int, i2 int, j1 int, j2 int"
 
@@ -37,13 +38,13 @@ def positions(ops: DataFrame, *key: str, replaced: bool = False) -> DataFrame:
     return use.select(*key, F.explode(F.sequence(F.lit(0), F.col("i2") - F.col("i1") - 1)).alias("_d"), "i1", "j1").select(*key, (F.col("i1") + F.col("_d")).alias("i"), (F.col("j1") + F.col("_d")).alias("j"))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Similarity of two strings by characters; null with null."""
     return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def word_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Similarity of two word arrays."""
     return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, list(x), list(y), autojunk=False).ratio() for x, y in zip(a, b)], dtype="float64")

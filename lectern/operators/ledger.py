@@ -30,9 +30,9 @@ def superseded(ledger: DataFrame, applied: DataFrame, *key: str, order: str = "s
 
     The latest applied row of a key supersedes all others: one aggregate and one join."""
     a = ledger.join(applied.select(F.col("applied_id").alias(id)).distinct(), id, "left_semi")
-    last = a.groupBy(*key).agg(F.max(order).alias("_last"))
-    on = [a[k].eqNullSafe(last[k]) for k in key]
-    return a.join(last, on).select(*[a[c] for c in a.columns], (F.col("_last") > a[order]).alias("superseded"))
+    last = a.groupBy(*[F.col(k).alias(f"_{k}") for k in key]).agg(F.max(order).alias("_last"))
+    on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key]
+    return a.join(last, on).select(*a.columns, (F.col("_last") > F.col(order)).alias("superseded"))
 
 
 def unapplied(ledger: DataFrame, applied: DataFrame, id: str = "id") -> DataFrame:

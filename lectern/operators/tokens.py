@@ -20,13 +20,10 @@ def repeated(w: DataFrame, form: Column, unit: str = "doc_id", allowed: tuple[st
     return (hit.where(~here.isin(*allowed)) if allowed else hit).drop("_n", "_x")
 
 
-def context(units: DataFrame, spots: DataFrame, before: int, after: int, unit: str = "doc_id", text: str = "text") -> DataFrame:
-    """Spots (unit, word_index, ...) with the words around them, ``after`` exclusive; spots out of range get none."""
-    i = F.col("word_index")
-    ws = words(F.col(text))
-    start = F.greatest(i - before, F.lit(0))
-    around = F.array_join(F.slice(ws, start + 1, F.greatest(F.least(i + after, F.size(ws)) - start, F.lit(0))), " ")
-    return spots.join(units.select(unit, text), unit).withColumn("context", F.when((i >= 0) & (i < F.size(ws)), around)).drop(text)
+def context(w: DataFrame, spots: DataFrame, before: int, after: int, unit: str = "doc_id") -> DataFrame:
+    """Spots (unit, word_index, ...) with the words around them, ``after`` exclusive; spots that are no word are left out."""
+    around = W.partitionBy(unit).orderBy("word_index").rowsBetween(-before, after - 1)
+    return spots.join(w.select(unit, "word_index", F.array_join(F.collect_list("word").over(around), " ").alias("context")), [unit, "word_index"])
 
 
 def grams(units: DataFrame, n: int, unit: str = "doc_id", text: str = "text") -> DataFrame:
