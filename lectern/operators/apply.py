@@ -60,11 +60,12 @@ def apply_decisions(units: DataFrame, decisions: DataFrame) -> DataFrame:
             if pd.isna(r.word_index):
                 out.append("drift")
                 continue
+            if moved and (r.op in ("insert", "delete") or len((old or "").split()) != len((new or "").split())):
+                out.append("deferred")  # its index may be off by now
+                continue
             got = edit(words, r.op, int(r.word_index), old, new)
             if got is None:
                 out.append("drift")
-            elif len(got) != len(words) and moved:
-                out.append("deferred")
             else:
                 out.append("confirmed" if got == words else "applied")
                 moved = moved or len(got) != len(words)
@@ -79,16 +80,17 @@ def apply_decisions(units: DataFrame, decisions: DataFrame) -> DataFrame:
 def apply_punctuation(units: DataFrame, accepted: DataFrame) -> DataFrame:
     """Like ``apply_decisions`` for marks put behind words: (id, unit_id, before_word_index, word_before, word_after, mark).
 
-    Descending by index; the neighbours must be those that the proposal saw."""
+    Descending by index; the neighbours, as they were before this run, must be those that the proposal saw."""
 
     def fold(key, u: pd.DataFrame, d: pd.DataFrame) -> pd.DataFrame:
         if not len(u) or not len(d):
             return pd.DataFrame({"unit_id": key[0], "text": None, "id": d["id"], "outcome": "missing"}) if len(d) else pd.DataFrame(columns=["unit_id", "text", "id", "outcome"])
         words, out = (u["text"].iloc[0] or "").split(), []
+        seen = list(words)
         d = d.sort_values(["before_word_index", "id"], ascending=[False, True])
         for r in d.itertuples():
             i = int(r.before_word_index)
-            if 0 < i < len(words) and words[i - 1] == r.word_before and words[i] == r.word_after:
+            if 0 < i < len(seen) and seen[i - 1] == r.word_before and seen[i] == r.word_after:
                 words[i - 1] += r.mark
                 out.append("applied")
             else:

@@ -69,4 +69,7 @@ def lexicon(spark: SparkSession, path: str) -> DataFrame:
 def nested_texts(spark: SparkSession, path: str) -> DataFrame:
     """Every string of an arbitrarily nested tree of lists and objects: (book, text), the book by file name."""
     raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("book"), "value")
-    return raw.select("book", F.explode(F.regexp_extract_all("value", F.lit(r'"((?:[^"\\]|\\.)*)"(?!\s*:)'), F.lit(1))).alias("text"))
+    pattern = F.lit(r'"((?:[^"\\]++|\\.)*+)"(\s*:)?')
+    found = F.arrays_zip(F.regexp_extract_all("value", pattern, F.lit(1)).alias("s"), F.regexp_extract_all("value", pattern, F.lit(2)).alias("key"))
+    text = F.from_json(F.concat(F.lit('["'), F.col("s"), F.lit('"]')), "array<string>")
+    return raw.select("book", F.inline(found)).where("key = ''").select("book", F.get(text, F.lit(0)).alias("text"))
