@@ -140,3 +140,24 @@ def notes(note: Column, pattern: str) -> Column:
     """Every (unit, place, original, candidate) that a pattern of four groups finds in free text."""
     all_of = lambda g: F.regexp_extract_all(note, F.lit(pattern), F.lit(g))
     return F.transform(F.arrays_zip(all_of(1).alias("a"), all_of(2).alias("b"), all_of(3).alias("c"), all_of(4).alias("d")), lambda x: F.struct(x["a"].cast("int").alias("unit_id"), x["b"].cast("int").alias("word_index"), x["c"].alias("original"), x["d"].alias("candidate")))
+
+
+def repaired(text: Column, medial: str, final: str) -> Column:
+    """Final letters inside a word in their medial form: position by position ``final`` becomes ``medial``."""
+    out = text
+    for f, m in zip(final, medial):
+        out = F.regexp_replace(out, f"{f}(?=\\p{{L}})", m)
+    return out
+
+
+def replaced(text: Column, wrong: dict[str, str]) -> Column:
+    """Whole words by a dictionary, all other text as it is."""
+    out = text
+    for w, r in wrong.items():
+        out = F.regexp_replace(out, rf"(?<!\p{{L}}){w}(?!\p{{L}})", r)
+    return out
+
+
+def is_running_header(texts: Column, header: str) -> Column:
+    """Whether one of a page's tokens is exactly the header."""
+    return F.exists(texts, lambda t: t == header)

@@ -75,3 +75,40 @@ def best_owner(mismatched: DataFrame, openings: DataFrame, shared: int = 1) -> D
     s = a.join(b, "w").where("unit_id <> owner").groupBy("unit_id", "owner", "na", "nb").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= shared)
     score = F.col("k") / (F.col("na") + F.col("nb") - F.col("k"))
     return s.withColumn("score", score).groupBy("unit_id").agg(F.max_by(F.struct("owner", "score"), F.struct("score", -F.col("owner"))).alias("b")).select("unit_id", "b.owner", "b.score")
+
+
+def contained_elsewhere(chunks: DataFrame, units: DataFrame, n: int = 5) -> DataFrame:
+    """(chunk_id, unit_id): units whose text holds a chunk's text; chunks (chunk_id, text), units (unit_id, text).
+
+    Only units that share a run of ``n`` words with the chunk's middle are compared, and chunks of fewer words by any
+    of their words; a chunk's outer words may be parts of words in the unit, so they are no key."""
+    ws = words(F.col("text"))
+    k = F.size("ws")
+    inner = F.when(k > 2, F.slice("ws", 2, F.greatest(k - 2, F.lit(0)))).otherwise(F.array().cast("array<string>"))
+    c = chunks.select("chunk_id", "text", ws.alias("ws")).withColumn("inner", inner)
+    long = c.where(F.size("inner") >= n).select("chunk_id", "text", F.array_join(F.slice("inner", 1, n), " ").alias("key"))
+    grams = F.transform(F.sequence(F.lit(1), F.size("ws") - (n - 1)), lambda i: F.array_join(F.slice("ws", i, n), " "))
+    keys = units.select("unit_id", ws.alias("ws")).where(F.size("ws") >= n).select("unit_id", F.explode(F.array_distinct(grams)).alias("key"))
+    near = long.join(keys, "key").select("chunk_id", "unit_id", F.col("text").alias("chunk"))
+    found = near.join(units.select("unit_id", "text"), "unit_id").where(F.contains("text", "chunk")).select("chunk_id", "unit_id")
+    short = c.where((F.size("inner") < n) & (F.size("inner") > 0)).select("chunk_id", F.col("text").alias("chunk"), F.get("inner", F.lit(0)).alias("key"))
+    single = units.select("unit_id", F.explode(F.array_distinct(ws)).alias("key"))
+    few = short.join(single, "key").select("chunk_id", "unit_id", "chunk").join(units.select("unit_id", "text"), "unit_id").where(F.contains("text", "chunk")).select("chunk_id", "unit_id")
+    return found.unionByName(few).distinct()
+
+
+def directions(units: DataFrame, above: str, below: str) -> DataFrame:
+    """References to units above or below that point the other way: patterns whose first group is a number.
+
+    A disclaimed check: a reader decides."""
+    ref = lambda p, way: units.select("unit_id", F.explode(F.regexp_extract_all("text", F.lit(p), F.lit(1))).alias("target"), F.lit(way).alias("way"))
+    r = ref(above, "above").unionByName(ref(below, "below")).withColumn("target", F.expr("try_cast(target as long)")).where("target is not null")
+    return r.where(((F.col("way") == "above") & (F.col("target") >= F.col("unit_id"))) | ((F.col("way") == "below") & (F.col("target") <= F.col("unit_id"))))
+
+
+def remaining(counts: DataFrame, part: str, order: str, n: str) -> DataFrame:
+    """What is left of a part's counts from each row on, its own included, never below 0."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy(part).orderBy(order).rowsBetween(0, Window.unboundedFollowing)
+    return counts.withColumn("remaining", F.greatest(F.sum(n).over(w), F.lit(0)))

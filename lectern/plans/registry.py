@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import align, detect, freq, geometry, ledger, tokens, trace, validate
+from ..streaming import ledger as stream
 from . import serving
 
 QUERIES: dict = {}
@@ -487,3 +488,21 @@ def g11(spark, sf):
 def d2(spark, sf):
     t = docs(spark, sf).select(F.col("source").alias("part"), F.col("doc_id").alias("unit_id"), F.lower("text").alias("title"))
     return trace.title_order(t, T.LATIN.alphabet)
+
+
+@query("j16_passages_in_documents", "SELECT item_id AS chunk_id, doc_id AS unit_id FROM benchmark b JOIN documents d ON contains(d.text, b.text)")
+def j16(spark, sf):
+    b = read(spark, sf, "benchmark").select(F.col("item_id").alias("chunk_id"), "text")
+    return validate.contained_elsewhere(b, docs(spark, sf).select(F.col("doc_id").alias("unit_id"), "text"))
+
+
+@query("w11_remaining_by_unit", "WITH c AS (SELECT event_type AS part, user_id AS unit_id, count(*) AS n FROM events GROUP BY ALL) SELECT part, unit_id, n, CAST(sum(n) OVER (PARTITION BY part ORDER BY unit_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS BIGINT) AS remaining FROM c")
+def w11(spark, sf):
+    c = read(spark, sf, "events").groupBy(F.col("event_type").alias("part"), F.col("user_id").alias("unit_id")).agg(F.count(F.lit(1)).alias("n"))
+    return validate.remaining(c, "part", "unit_id", "n")
+
+
+@query("g3_windowed_events", "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL")
+def g3w(spark, sf):
+    """The windowed aggregate of the streaming extension, run as a batch."""
+    return stream.windowed(read(spark, sf, "events")).select("start", "event_type", "n")

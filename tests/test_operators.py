@@ -280,3 +280,17 @@ def test_stream_equals_batch(spark, tmp_path):
     last = max((tmp_path / "view").iterdir(), key=lambda p: int(p.name[1:]))
     want = ledger.current(e, "user_id", "event_type")
     assert rows(spark.read.parquet(str(last)).select("user_id", "event_type", "seq", "value")) == rows(want.select("user_id", "event_type", "seq", "value"))
+
+
+def test_containment_and_directions(spark):
+    u = spark.createDataFrame([(1, "see no. 5 above and no. 9 below, the quick brown fox jumps over a lazy dog"), (7, "xthe quick brown fox jumps over a lazy dogs, no. 3 below")], "unit_id long, text string")
+    c = spark.createDataFrame([(1, "the quick brown fox jumps over a lazy dog"), (2, "quick brown fox"), (3, "quick red fox"), (4, "the quick brown foxes jump over it")], "chunk_id long, text string")
+    assert rows(validate.contained_elsewhere(c, u)) == [(1, 1), (1, 7), (2, 1), (2, 7)]
+    assert rows(validate.directions(u, r"no\. (\d+) above", r"no\. (\d+) below")) == [(1, 5, "above"), (7, 3, "below")]
+
+
+def test_repairs(spark):
+    d = spark.createDataFrame([("שלוםי םבא שלום abc",)], "t string")
+    assert d.select(T.repaired(F.col("t"), "מ", "ם")).first()[0] == "שלומי מבא שלום abc"
+    assert d.select(T.replaced(F.col("t"), {"abc": "xyz", "של": "?"})).first()[0] == "שלוםי םבא שלום xyz"
+    assert d.select(T.is_running_header(F.split("t", " "), "abc")).first()[0]
