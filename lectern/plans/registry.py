@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import align, detect, freq, geometry, ledger, tokens, trace, validate
+from ..session import reachable
 from ..streaming import ledger as stream
 from . import serving
 
@@ -33,6 +34,7 @@ def query(name: str, sql: str | None = None):
 
 
 def read(spark, sf, name):
+    reachable(spark)
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
