@@ -9,11 +9,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..session import reachable
+
 U64 = np.uint64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """The named columns of a table; columns it lacks come as nulls."""
+    reachable(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*[F.col(f"`{c}`") if c in df.columns else F.lit(None).alias(c) for c in columns])
 

@@ -158,11 +158,11 @@ class Model:
         low = entropy[np.arange(len(best)), best]
         z = -(entropy - low[:, None]) * (self.sharpness * size / (size + 20))[:, None]
         p = 1 / np.exp(z).sum(1)
-        return best, p, (size == 0) | (low > self.limit[best] + 4 / np.sqrt(np.maximum(size, 1)))
+        return best, p, (size == 0) | (low > self.limit[best] + 8 / np.sqrt(np.maximum(size, 1)))
 
     def calibrate(self, entropy: np.ndarray, size: np.ndarray, true: np.ndarray) -> None:
-        """The sharpness that makes the confidences likeliest; by language, the limit of acceptance: above all but
-        one in 200 of its own texts, and at least half-way to texts of other languages."""
+        """The sharpness that makes the confidences likeliest; by language, the limit of acceptance: a tenth
+        over what all but one in 200 of its own texts need, and over half the way to texts of other languages."""
         ok = size > 0
         entropy, size, true = entropy[ok], size[ok], true[ok]
         if not len(true):
@@ -177,8 +177,8 @@ class Model:
         for k in range(len(self.languages)):
             own, other = entropy[true == k, k], entropy[true != k, k]
             if len(own):
-                high = float(np.quantile(own, 0.995)) * 1.05
-                self.limit[k] = max(high, (float(np.median(own)) + float(np.median(other))) / 2 if len(other) else high * 1.2)
+                high = float(np.quantile(own, 0.995))
+                self.limit[k] = 1.1 * max(high, (float(np.median(own)) + float(np.median(other))) / 2 if len(other) else high * 1.1)
 
 
 def _word_counts(docs: DataFrame) -> DataFrame:
