@@ -30,6 +30,7 @@ from .induced import suffixes
 WIDTH, K = 50, 16
 BLOCK_BYTES = 12 << 20  # text whose anchors make one shard, and text of one bucket
 CHUNK = (1 << 22) - 256  # bytes whose windows are looked at together
+SORTED = 1 << 20  # bytes of segments whose suffixes are sorted at once
 ODD = 0x9E3779B97F4A7C15
 
 
@@ -99,7 +100,7 @@ def _scan(blocks: int, width: int, k: int):
 
     def run(batches):
         for whole in batches:
-            for b in slices(whole, "text", 3 << 20):
+            for b in slices(whole, "text", 2 << 20):
                 ids, data = b.column("id").to_pylist(), _text(b.column("text"))
                 use = [i for i, (w, d) in enumerate(zip(ids, data)) if w is not None and len(d) >= width]
                 if not use:
@@ -114,7 +115,8 @@ def _scan(blocks: int, width: int, k: int):
                 gram, segment, first, count, doc = got
                 who = np.array([ids[i] for i in use], np.int64)
                 check = np.array([zlib.crc32(data[i]) for i in use], np.uint32)
-                block = ((gram >> U64(48)) * U64(blocks) >> U64(16)).astype(np.uint16)
+                # least hashes crowd at the low end, so the shard follows from them hashed again
+                block = ((mix(gram) >> U64(48)) * U64(blocks) >> U64(16)).astype(np.uint16)
                 order = np.argsort(block, kind="stable")
                 gram, segment, first, count, doc, block = gram[order], segment[order], first[order], count[order], doc[order], block[order]
                 cut = runs(block)
@@ -263,9 +265,14 @@ def _open(table: pa.Table):
 
 
 def _fetch(left: pa.Table, right: pa.Table) -> pa.Table:
-    """Phase 3: (block, blob) with the bytes of the wanted segments of a bucket, by shard."""
+    """Phase 3: (block, blob) with the bytes of the wanted segments of a bucket, by shard; spans, under a negative
+    block that names their bucket, pass through."""
     want: dict[tuple[int, int], list] = {}
-    for block, blob in zip(right.column("block").to_pylist(), right.column("blob").to_pylist()):
+    passed = []
+    for bucket, kind, block, blob in zip(*[right.column(c).to_pylist() for c in ("bucket", "kind", "block", "blob")]):
+        if kind == 1:
+            passed.append((-1 - bucket, blob))
+            continue
         who, check, lo, hi, gram = unpack(blob, np.int64, np.uint32, np.uint32, np.uint32, np.uint32)
         cut = runs(who.astype(np.int64) * 3 + check)
         for x, y in zip(cut[:-1], cut[1:]):
@@ -276,11 +283,11 @@ def _fetch(left: pa.Table, right: pa.Table) -> pa.Table:
             continue
         key = w, zlib.crc32(data)
         for block, lo, hi, gram in want.pop(key, ()):  # a repeated row is fetched once
-            o = out.setdefault(block, [[], [], [], [], []])
-            o[0].append(np.full(len(lo), w)), o[1].append(np.full(len(lo), key[1], np.uint32)), o[2].append(lo), o[3].append(hi)
-            o[4] += [data[a:b] for a, b in zip(lo.tolist(), hi.tolist())]
-    blobs = [pack(*[np.concatenate(x) for x in o[:4]], np.frombuffer(zstandard.compress(b"".join(o[4]), 1), np.uint8)) for o in out.values()]
-    return pa.table({"block": pa.array(list(out), pa.int32()), "blob": pa.array(blobs, pa.binary())})
+            o = out.setdefault(block, [[], [], [], [], [], []])
+            o[0].append(np.full(len(lo), w)), o[1].append(np.full(len(lo), key[1], np.uint32)), o[2].append(lo), o[3].append(hi), o[4].append(gram)
+            o[5] += [data[a:b] for a, b in zip(lo.tolist(), hi.tolist())]
+    blobs = [pack(*[np.concatenate(x) for x in o[:5]], np.frombuffer(zstandard.compress(b"".join(o[5]), 1), np.uint8)) for o in out.values()]
+    return pa.table({"block": pa.array([*out, *[b for b, _ in passed]], pa.int32()), "blob": pa.array([*blobs, *[x for _, x in passed]], pa.binary())})
 
 
 def repeated(who: np.ndarray, segments: list[bytes], width: int) -> list[tuple[int, int, int]]:
@@ -336,15 +343,30 @@ def _sorted(buckets: int, width: int):
 
     def run(batches):
         for key, held in grouped(batches, "block"):
-            read = [unpack(x, np.int64, np.uint32, np.uint32, np.uint32, np.uint8) for b in held for x in b.column("blob").to_pylist()]
-            who, check, lo, hi = (np.concatenate([r[i] for r in read]) for i in range(4))
+            blobs = [x for b in held for x in b.column("blob").to_pylist()]
+            if key < 0:
+                for x in blobs:
+                    yield rows_of(schema, np.array([-1 - key], np.int32), np.array([1], np.int8), np.array([key], np.int32), [x])
+                continue
+            read = [unpack(x, np.int64, np.uint32, np.uint32, np.uint32, np.uint32, np.uint8) for x in blobs]
+            who, check, lo, hi, gram = (np.concatenate([r[i] for r in read]) for i in range(5))
             segments = []
             for r in read:
-                data, at = zstandard.decompress(r[4].tobytes(), max_output_size=int((r[3].astype(np.int64) - r[2]).sum())), 0
+                data, at = zstandard.decompress(r[5].tobytes(), max_output_size=int((r[3].astype(np.int64) - r[2]).sum())), 0
                 for n in (r[3].astype(np.int64) - r[2]).tolist():
                     segments.append(data[at : at + n])
                     at += n
-            found = repeated(who, segments, width)
+            # equal windows have equal anchors, so whole anchors are sorted together, about SORTED bytes at a time
+            order = np.argsort(gram, kind="stable")
+            cut = runs(gram[order])
+            size = np.add.reduceat((hi.astype(np.int64) - lo)[order], cut[:-1])
+            found, at, held_bytes = [], 0, 0
+            for j in range(len(size)):
+                held_bytes += size[j]
+                if held_bytes >= SORTED or j == len(size) - 1:
+                    some = order[cut[at] : cut[j + 1]]
+                    found += [(some[q], a, b) for q, a, b in repeated(who[some], [segments[i] for i in some.tolist()], width)]
+                    at, held_bytes = j + 1, 0
             if not found:
                 continue
             seg, a, b = (np.array(x, np.int64) for x in zip(*found))
@@ -412,9 +434,8 @@ def remove_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text", w
     shards = d.mapInArrow(_scan(blocks, width, k), "block int, blob binary").repartition(p, "block").sortWithinPartitions("block")
     found = shards.mapInArrow(_shard(blocks, width), small).repartition(p, "bucket")
     held = d.mapInArrow(_texts(blocks), "bucket int, blob binary").repartition(p, "bucket").groupBy("bucket")
-    fetched = held.cogroup(found.where("kind = 2").groupBy("bucket")).applyInArrow(_fetch, "block int, blob binary")
+    fetched = held.cogroup(found.groupBy("bucket")).applyInArrow(_fetch, "block int, blob binary")
     exact = fetched.repartition(p, "block").sortWithinPartitions("block").mapInArrow(_sorted(blocks, width), small)
-    spans = found.where("kind = 1").unionByName(exact).repartition(p, "bucket")
-    done = held.cogroup(spans.groupBy("bucket")).applyInArrow(_finish(keep), RESULT)
+    done = held.cogroup(exact.repartition(p, "bucket").groupBy("bucket")).applyInArrow(_finish(keep), RESULT)
     names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", *["text_crc32", "kept", "kept_text"] * keep]
     return done.select(F.col("id").alias(id), *names)
