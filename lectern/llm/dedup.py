@@ -44,10 +44,11 @@ def _fold(h: np.ndarray, size: int, other: np.ndarray, n: int) -> np.ndarray:
         return h[:n] * U64(pow(ODD, size, 1 << 64)) + other[size : size + n]
 
 
-def anchors(data: np.ndarray, width: int = WIDTH, k: int = K):
+def anchors(data: np.ndarray, width: int = WIDTH, k: int = K, valid: np.ndarray | None = None):
     """(anchor hash, segment hash, first window, windows, anchor's place) of the segments of a byte array.
 
-    Which place of a window is its anchor follows from the window's bytes alone."""
+    Which place of a window is its anchor follows from the window's bytes alone, so of several texts end to end
+    the windows across two are just not ``valid``."""
     n = len(data) - width + 1
     if n <= 0:
         z = np.zeros(0, np.int64)
@@ -78,9 +79,13 @@ def anchors(data: np.ndarray, width: int = WIDTH, k: int = K):
     if have < span:
         low = np.minimum(low[: n], low[span - have : span - have + n])
     at = (low[:n] & U64((1 << 22) - 1)).astype(np.int64)
-    cut = runs(at)
-    first, last = cut[:-1], cut[1:] - 1
-    place = at[first]
+    del low
+    use = np.arange(n) if valid is None else np.flatnonzero(valid[:n])
+    at = at[use]
+    new = np.ones(len(use), bool)
+    new[1:] = (at[1:] != at[:-1]) | (use[1:] != use[:-1] + 1)
+    start = np.flatnonzero(new)
+    first, last, place = use[start], use[np.append(start[1:], len(use)) - 1] if len(use) else use, at[start]
     with np.errstate(over="ignore"):
         segment = mix(mix(window[first]) * U64(ODD) + window[last] + (last - first).astype(U64) * U64(0xD1B54A32D192ED03) + (place - first).astype(U64))
     return gram[place], segment, first, last - first + 1, place
@@ -132,39 +137,14 @@ def _scan(blocks: int, width: int, k: int):
 
 
 def _together(joined, start, end, width, k):
-    """Segments of several texts laid end to end: each text's own, windows across texts left out."""
-    n = len(joined) - width + 1
-    if n <= 0:
-        z = np.zeros(0, np.int64)
-        return z.view(U64), z.view(U64), z, z, z
-    gram, segment, first, count, place = anchors(joined, width, k)
-    # a segment that reaches past its first window's text is looked at again, in its text alone
+    """Segments of several texts laid end to end, each of ``width`` bytes at least or without segments."""
+    edge = np.zeros(len(joined) + 1, np.int32)
+    long = end - start >= width
+    np.add.at(edge, start[long], 1)
+    np.add.at(edge, end[long] - width + 1, -1)
+    gram, segment, first, count, _ = anchors(joined, width, k, np.cumsum(edge) > 0)
     doc = np.searchsorted(end, first, "right")
-    last = first + count - 1
-    whole = (last + width <= end[doc]) & (first >= start[doc])
-    # windows before a text's end may share an anchor with windows after it, so both neighbours are redone
-    bad = np.flatnonzero(~whole)
-    out = [(gram[whole], segment[whole], first[whole] - start[doc[whole]], count[whole], doc[whole])]
-    for d in np.unique(np.concatenate([doc[bad], np.searchsorted(end, np.minimum(last[bad], len(joined) - 1), "right")])).tolist():
-        a, b = start[d], end[d]
-        mine = whole & (doc == d)
-        for lo, hi in _gaps(first[mine], count[mine], a, b - width + 1):
-            g, s, f, c, _ = anchors(joined[lo : hi - 1 + width], width, k)
-            out.append((g, s, f + lo - a, c, np.full(len(g), d)))
-    got = [np.concatenate(x) for x in zip(*out)]
-    order = np.lexsort((got[2], got[4]))
-    return [x[order] for x in got]
-
-
-def _gaps(first, count, a, b):
-    """The ranges of windows from a to b that no segment has."""
-    at = a
-    for f, c in zip(first.tolist(), count.tolist()):
-        if f > at:
-            yield at, f
-        at = f + c
-    if at < b:
-        yield at, b
+    return [gram, segment, first - start[doc], count, doc]
 
 
 def _shard(buckets: int, width: int):
