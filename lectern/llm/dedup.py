@@ -45,14 +45,18 @@ def _fold(h: np.ndarray, size: int, other: np.ndarray, n: int) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, width: int = WIDTH, k: int = K, valid: np.ndarray | None = None):
-    """(anchor hash, segment hash, first window, windows, anchor's place) of the segments of a byte array.
+    """(anchor hash, segment hash, first window, windows, left mark, right mark) of the segments of a byte array.
+
+    A window reaches half of its bytes besides the anchor beyond it on one side at least. The marks are 16-bit
+    hashes of the anchor with so many bytes before and behind it, 0 if no window of the segment reaches as far:
+    windows of two segments can only be equal if the segments agree in a mark.
 
     Which place of a window is its anchor follows from the window's bytes alone, so of several texts end to end
     the windows across two are just not ``valid``."""
     n = len(data) - width + 1
     if n <= 0:
         z = np.zeros(0, np.int64)
-        return z.view(U64), z.view(U64), z, z, z
+        return z.view(U64), z.view(U64), z, z, z.astype(np.uint16), z.astype(np.uint16)
     power = {1: mix(data.astype(U64) + U64(257))}
     size = 1
     while size * 2 <= width:
@@ -70,6 +74,8 @@ def anchors(data: np.ndarray, width: int = WIDTH, k: int = K, valid: np.ndarray
 
     gram = mix(of(k))
     window = of(width)
+    half = (width - k + 1) // 2
+    wide = of(k + half)
     del power
     low = (gram & ~U64((1 << 22) - 1)) | np.arange(len(gram), dtype=U64)
     span, have = width - k + 1, 1
@@ -88,15 +94,18 @@ def anchors(data: np.ndarray, width: int = WIDTH, k: int = K, valid: np.ndarray
     first, last, place = use[start], use[np.append(start[1:], len(use)) - 1] if len(use) else use, at[start]
     with np.errstate(over="ignore"):
         segment = mix(mix(window[first]) * U64(ODD) + window[last] + (last - first).astype(U64) * U64(0xD1B54A32D192ED03) + (place - first).astype(U64))
-    return gram[place], segment, first, last - first + 1, place
+    mark = lambda h: (mix(h) % U64(65_535)).astype(np.uint16) + np.uint16(1)
+    left = np.where(place - first >= half, mark(wide[np.maximum(place - half, 0)]), 0).astype(np.uint16)
+    right = np.where(place - last <= width - k - half, mark(wide[np.minimum(place, len(wide) - 1)]), 0).astype(np.uint16)
+    return gram[place], segment, first, last - first + 1, left, right
 
 
 def _of_documents(data: bytes, width: int, k: int):
     """The segments of one text: big texts in chunks that overlap by a window less a byte."""
     array = np.frombuffer(data, np.uint8)
     for a in range(0, max(1, len(array) - width + 1), CHUNK):
-        gram, segment, first, count, _ = anchors(array[a : a + CHUNK + width - 1], width, k)
-        yield gram, segment, first + a, count
+        gram, segment, first, *rest = anchors(array[a : a + CHUNK + width - 1], width, k)
+        yield gram, segment, first + a, *rest
 
 
 def _scan(blocks: int, width: int, k: int):
@@ -116,21 +125,21 @@ def _scan(blocks: int, width: int, k: int):
                     joined = np.frombuffer(b"".join([data[i] for i in use]), np.uint8)
                     got = _together(joined, end - size, end, width, k)
                 else:
-                    got = [np.concatenate(x) for x in zip(*[(g, s, f, c, np.full(len(g), j)) for j, i in enumerate(use) for g, s, f, c in _of_documents(data[i], width, k)])]
-                gram, segment, first, count, doc = got
+                    got = [np.concatenate(x) for x in zip(*[(*some, np.full(len(some[0]), j)) for j, i in enumerate(use) for some in _of_documents(data[i], width, k)])]
+                gram, segment, first, count, left, right, doc = got
                 who = np.array([ids[i] for i in use], np.int64)
                 check = np.array([zlib.crc32(data[i]) for i in use], np.uint32)
                 # least hashes crowd at the low end, so the shard follows from them hashed again
                 block = ((mix(gram) >> U64(48)) * U64(blocks) >> U64(16)).astype(np.uint16)
                 order = np.argsort(block, kind="stable")
-                gram, segment, first, count, doc, block = gram[order], segment[order], first[order], count[order], doc[order], block[order]
+                gram, segment, first, count, left, right, doc, block = (x[order] for x in (gram, segment, first, count, left, right, doc, block))
                 cut = runs(block)
                 keys, blobs = [], []
                 for x, y in zip(cut[:-1], cut[1:]):
                     r = runs(doc[x:y])
                     d = doc[x + r[:-1]]
                     keys.append(int(block[x]))
-                    blobs.append(pack(who[d], check[d], np.diff(r).astype(np.uint32), gram[x:y].astype(np.uint32), segment[x:y], first[x:y].astype(np.uint32), count[x:y].astype(np.uint8)))
+                    blobs.append(pack(who[d], check[d], np.diff(r).astype(np.uint32), gram[x:y].astype(np.uint32), segment[x:y], first[x:y].astype(np.uint32), count[x:y].astype(np.uint8), left[x:y], right[x:y]))
                 yield rows_of(schema, np.array(keys, np.int32), blobs)
 
     return run
@@ -142,9 +151,9 @@ def _together(joined, start, end, width, k):
     long = end - start >= width
     np.add.at(edge, start[long], 1)
     np.add.at(edge, end[long] - width + 1, -1)
-    gram, segment, first, count, _ = anchors(joined, width, k, np.cumsum(edge) > 0)
+    gram, segment, first, count, left, right = anchors(joined, width, k, np.cumsum(edge) > 0)
     doc = np.searchsorted(end, first, "right")
-    return [gram, segment, first - start[doc], count, doc]
+    return [gram, segment, first - start[doc], count, left, right, doc]
 
 
 def _shard(buckets: int, width: int):
@@ -153,18 +162,18 @@ def _shard(buckets: int, width: int):
 
     def run(batches):
         for key, held in grouped(batches, "block"):
-            read = [unpack(x, np.int64, np.uint32, np.uint32, np.uint32, U64, np.uint32, np.uint8) for b in held for x in b.column("blob").to_pylist()]
+            read = [unpack(x, np.int64, np.uint32, np.uint32, np.uint32, U64, np.uint32, np.uint8, np.uint16, np.uint16) for b in held for x in b.column("blob").to_pylist()]
             who = np.concatenate([np.repeat(r[0], r[2]) for r in read])
             check = np.concatenate([np.repeat(r[1], r[2]) for r in read])
-            gram, segment, first, count = (np.concatenate([r[i] for r in read]) for i in range(3, 7))
+            gram, segment, first, count, left, right = (np.concatenate([r[i] for r in read]) for i in range(3, 9))
             del read
             order = np.argsort(gram, kind="stable")
             cut = runs(gram[order])
             many = np.repeat(np.diff(cut) > 1, np.diff(cut))
             order = order[many]
-            who, check, gram, segment, first, count = (x[order] for x in (who, check, gram, segment, first, count))
+            who, check, gram, segment, first, count, left, right = (x[order] for x in (who, check, gram, segment, first, count, left, right))
             order = np.lexsort((who, segment, gram))
-            who, check, gram, segment, first, count = (x[order] for x in (who, check, gram, segment, first, count))
+            who, check, gram, segment, first, count, left, right = (x[order] for x in (who, check, gram, segment, first, count, left, right))
             if not len(who):
                 continue
             pair = np.ones(len(who), bool)
@@ -178,6 +187,7 @@ def _shard(buckets: int, width: int):
             kinds = np.add.reduceat(pair.astype(np.int64), group[:-1])
             span = np.maximum.reduceat(who, group[:-1]) > np.minimum.reduceat(who, group[:-1])
             want = np.repeat((kinds > 1) & span, size) & ~gone
+            want &= _agrees(gram, left, who) | _agrees(gram, right, who)
             for kind, m in ((1, gone), (2, want)):
                 bucket = _bucket(who[m], buckets)
                 o = np.lexsort((first[m], check[m], who[m], bucket))
@@ -192,6 +202,19 @@ def _shard(buckets: int, width: int):
     return run
 
 
+def _agrees(gram, mark, who):
+    """Whether another document has the anchor with the same mark."""
+    order = np.lexsort((mark, gram))
+    g, m, w = gram[order], mark[order], who[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (g[1:] != g[:-1]) | (m[1:] != m[:-1])
+    at = np.flatnonzero(new)
+    several = np.maximum.reduceat(w, at) > np.minimum.reduceat(w, at)
+    out = np.empty(len(order), bool)
+    out[order] = np.repeat(several, np.diff(np.append(at, len(order)))) & (m > 0)
+    return out
+
+
 def _merged(who, check, lo, hi):
     """Spans of a text, sorted by begin, joined where they touch or overlap."""
     if not len(who):
@@ -280,11 +303,12 @@ def repeated(who: np.ndarray, segments: list[bytes], width: int) -> list[tuple[i
     flat = np.frombuffer(b"".join(segments), np.uint8)
     where = np.arange(len(flat)) + np.repeat(np.arange(len(size)), size)
     text[where] = flat.astype(np.int16) + 1
+    owner = np.repeat(np.arange(len(size)), size + 1)
     hit = np.zeros(len(text), bool)
 
     def settle(p, e):
         """One stretch of suffixes, whole groups of equal windows."""
-        seg = np.searchsorted(start, p, "right") - 1
+        seg = owner[p]
         room = start[seg] + size[seg] - p >= width
         group = np.flatnonzero(np.append(True, e[1:] < width))
         doc = np.where(room, who[seg], np.iinfo(np.int64).max)

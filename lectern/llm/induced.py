@@ -73,7 +73,12 @@ class Carry:
         self.least, self.cap = np.full(symbols, cap, np.uint8), cap
 
     def spread(self, target: np.ndarray, at: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For sources ``at`` of a batch with prefixes e: their order by target symbol, and prefixes in that order."""
+        """For sources ``at`` of a batch with prefixes e: their order by target symbol, and prefixes in that order.
+
+        With a cap of 0 there are none to find."""
+        order = np.argsort(target, kind="stable")
+        if not self.cap:
+            return order, np.zeros(len(order), np.uint8)
         table = [e]
         while 2 << (len(table) - 1) <= len(e):
             half = 1 << (len(table) - 1)
@@ -87,7 +92,6 @@ class Carry:
                 out[m] = np.minimum(table[k][lo[m]], table[k][hi[m] - (1 << k)])
             return out
 
-        order = np.argsort(target, kind="stable")
         c, k = target[order], at[order]
         if not len(k):
             np.minimum(self.least, e.min(initial=self.cap), out=self.least)
@@ -237,7 +241,7 @@ def suffixes(t: np.ndarray, cap: int = 255, spill: int = SPILL):
     if len(stars) > 1:
         # the order of the S* substrings: one induction from S* suffixes ordered by their first symbol only
         rough = stars[np.argsort(t[stars], kind="stable")]
-        at = np.concatenate([p for p, _ in induce(t, s, rough, np.zeros(len(rough), np.int64), symbols, 1, spill)])
+        at = np.concatenate([p for p, _ in induce(t, s, rough, np.zeros(len(rough), np.int64), symbols, 0, spill)])
         is_star = np.zeros(len(t), bool)
         is_star[stars] = True
         at = at[is_star[at]]
@@ -269,10 +273,10 @@ def suffixes(t: np.ndarray, cap: int = 255, spill: int = SPILL):
         elif name[-1] * 16 > len(stars):
             order = stars[_doubling(reduced)]
         else:
-            order = stars[np.concatenate([p for p, _ in suffixes(reduced, 1, spill)])]
+            order = stars[np.concatenate([p for p, _ in suffixes(reduced, 0, spill)])]
     else:
         order = stars
     prefix = np.zeros(len(order), np.int64)
     if len(order) > 1:
-        prefix[1:] = common(t, order[1:], order[:-1], cap)
+        prefix[1:] = common(t, order[1:], order[:-1], cap) if cap else 0
     yield from induce(t, s, order, prefix, symbols, cap, spill)

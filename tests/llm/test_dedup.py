@@ -63,7 +63,7 @@ def test_segments_hold_each_window_once():
     data = [bytes(r.choice(b"abc") for _ in range(r.randint(0, 300))) for _ in range(60)]
     size = np.array([len(d) for d in data])
     end = np.cumsum(size)
-    gram, segment, first, count, doc = _together(np.frombuffer(b"".join(data), np.uint8), end - size, end, 50, 16)
+    gram, segment, first, count, _, _, doc = _together(np.frombuffer(b"".join(data), np.uint8), end - size, end, 50, 16)
     for d, text in enumerate(data):
         own = np.flatnonzero(doc == d)
         windows = [w for f, c in zip(first[own], count[own]) for w in range(f, f + c)]
