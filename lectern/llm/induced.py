@@ -270,7 +270,7 @@ def suffixes(t: np.ndarray, cap: int = 255, spill: int = SPILL):
         reduced = names[stars]
         if name[-1] == len(stars):
             order = at
-        elif name[-1] * 16 > len(stars):
+        elif name[-1] > 256:
             order = stars[_doubling(reduced)]
         else:
             order = stars[np.concatenate([p for p, _ in suffixes(reduced, 0, spill)])]
