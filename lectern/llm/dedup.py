@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import U64, batch as rows_of, grouped, mix, pack, parts, runs, slices, unpack, volume
 from .induced import suffixes
@@ -233,8 +234,8 @@ def _bucket(who: np.ndarray, buckets: int) -> np.ndarray:
     return (mix(who.view(U64)) % U64(buckets)).astype(np.int32)
 
 
-def _texts(buckets: int):
-    """Texts by bucket, compressed."""
+def _texts(buckets: int, carry: tuple[str, ...]):
+    """Texts by bucket, compressed, and the rows' other columns as they are."""
     schema = pa.schema([("bucket", pa.int32()), ("blob", pa.binary())])
 
     def run(batches):
@@ -251,16 +252,38 @@ def _texts(buckets: int):
                 for x, y in zip(cut[:-1], cut[1:]):
                     o = order[x:y]
                     joined = b"".join([data[i] for i in o])
-                    yield rows_of(schema, np.array([bucket[o[0]]], np.int32), [pack(who[o], null[o].astype(np.uint8), np.array([len(data[i]) for i in o], np.int64), np.frombuffer(squeeze.compress(joined), np.uint8))])
+                    yield rows_of(schema, np.array([bucket[o[0]]], np.int32), [pack(who[o], null[o].astype(np.uint8), np.array([len(data[i]) for i in o], np.int64), np.frombuffer(squeeze.compress(joined), np.uint8), _columns(b, carry, o))])
 
     return run
 
 
+def _columns(b: pa.RecordBatch, carry: tuple[str, ...], rows: np.ndarray) -> np.ndarray:
+    if not carry:
+        return np.zeros(0, np.uint8)
+    some, sink = b.select(list(carry)).take(pa.array(rows)), pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, some.schema) as out:
+        out.write_batch(some)
+    return np.frombuffer(squeezed(sink.getvalue().to_pybytes()), np.uint8)
+
+
+def squeezed(data: bytes) -> bytes:
+    return zstandard.compress(data, 1)
+
+
+def _carried(table: pa.Table) -> pa.Table:
+    """The other columns of a bucket's rows, in the order of ``_open``."""
+    read = []
+    for blob in table.column("blob").to_pylist():
+        packed = unpack(blob, np.int64, np.uint8, np.int64, np.uint8, np.uint8)[4].tobytes()
+        read.append(pa.ipc.open_stream(zstandard.decompress(packed)).read_all())
+    return pa.concat_tables(read)
+
+
 def _open(table: pa.Table):
     """(id, is null, bytes) of a bucket's texts, blob by blob."""
     loose = zstandard.ZstdDecompressor()
     for blob in table.column("blob").to_pylist():
-        who, null, size, packed = unpack(blob, np.int64, np.uint8, np.int64, np.uint8)
+        who, null, size, packed, _ = unpack(blob, np.int64, np.uint8, np.int64, np.uint8, np.uint8)
         data, at = loose.decompress(packed.tobytes(), max_output_size=int(size.sum())) if size.sum() else b"", 0
         for w, z, n in zip(who.tolist(), null.tolist(), size.tolist()):
             yield w, bool(z), data[at : at + n]
@@ -385,10 +408,10 @@ def _sorted(buckets: int, width: int):
     return run
 
 
-RESULT = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text_crc32 long, kept binary, kept_text string"
+RESULT = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, kept_text string"
 
 
-def _finish(keep: bool):
+def _finish(keep: bool, carry: dict[str, pa.DataType]):
     """Phase 5: a bucket's texts without its spans."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -397,7 +420,7 @@ def _finish(keep: bool):
             who, check, lo, hi = unpack(blob, np.int64, np.uint32, np.uint32, np.uint32)
             for w, c, a, b in zip(who.tolist(), check.tolist(), lo.tolist(), hi.tolist()):
                 spans.setdefault((w, c), []).append((a, b))
-        out = [[] for _ in range(8)]
+        out = [[] for _ in range(7)]
         for w, null, data in _open(left):
             cut = sorted(spans.get((w, zlib.crc32(data)), ())) if not null and spans else []
             kept, at, removed, n = [], 0, 0, 0
@@ -413,33 +436,37 @@ def _finish(keep: bool):
                     end = b
             kept.append(data[max(end, 0) :])
             rest = b"".join(kept)
-            for o, x in zip(out, (None if null else w, len(data), removed, n, hashlib.sha256(rest).hexdigest(), zlib.crc32(data), rest if keep else None, rest.decode("utf-8", "ignore") if keep else None)):
+            for o, x in zip(out, (None if null else w, len(data), removed, n, hashlib.sha256(rest).hexdigest(), rest if keep else None, rest.decode("utf-8", "ignore") if keep else None)):
                 o.append(x)
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.string())
-        return pa.table([pa.array(o, t) for o, t in zip(out, kinds)], names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text_crc32", "kept", "kept_text"])
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.string())
+        other = _carried(left) if carry and left.num_rows else None
+        more = [other.column(c).combine_chunks().cast(t) if other is not None else pa.array([], t) for c, t in carry.items()]
+        return pa.table([*[pa.array(o, t) for o, t in zip(out, kinds)], *more], names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "kept_text", *carry])
 
     return run
 
 
-def remove_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text", width: int = WIDTH, k: int = K, block_bytes: int = BLOCK_BYTES, keep: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text", width: int = WIDTH, k: int = K, block_bytes: int = BLOCK_BYTES, keep: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256) of every row, with ``keep`` also
-    text_crc32 of the input, the bytes kept and their text without broken characters.
+    the bytes kept and their text without broken characters; the columns named in ``carry`` (of plain types) come along.
 
     Removed is each byte under a ``width``-byte string that also starts in a row with a smaller id, judged on the
     input; n_spans counts maximal removed runs. A null text is empty. Rows with a null id are kept whole and
     remove nothing. Rows with one id don't remove from each other; repeated rows come back as often as they came.
     Other columns are not read. An empty table gives no rows.
     """
-    d = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
+    d = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"), *[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(carry)])
+    held_columns = tuple(f"_{i}" for i in range(len(carry)))
     _, size = volume(d)
     blocks = int(min(60_000, max(4, -(-size // block_bytes))))
     p = parts(d)
     small = "bucket int, kind byte, block int, blob binary"
-    shards = d.mapInArrow(_scan(blocks, width, k), "block int, blob binary").repartition(p, "block").sortWithinPartitions("block")
+    shards = d.select("id", "text").mapInArrow(_scan(blocks, width, k), "block int, blob binary").repartition(p, "block").sortWithinPartitions("block")
     found = shards.mapInArrow(_shard(blocks, width), small).repartition(p, "bucket")
-    held = d.mapInArrow(_texts(blocks), "bucket int, blob binary").repartition(p, "bucket").groupBy("bucket")
+    held = d.mapInArrow(_texts(blocks, held_columns), "bucket int, blob binary").repartition(p, "bucket").groupBy("bucket")
     fetched = held.cogroup(found.groupBy("bucket")).applyInArrow(_fetch, "block int, blob binary")
     exact = fetched.repartition(p, "block").sortWithinPartitions("block").mapInArrow(_sorted(blocks, width), small)
-    done = held.cogroup(exact.repartition(p, "bucket").groupBy("bucket")).applyInArrow(_finish(keep), RESULT)
-    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", *["text_crc32", "kept", "kept_text"] * keep]
-    return done.select(F.col("id").alias(id), *names)
+    kinds = {c: to_arrow_type(d.schema[c].dataType) for c in held_columns}
+    done = held.cogroup(exact.repartition(p, "bucket").groupBy("bucket")).applyInArrow(_finish(keep, kinds), RESULT + "".join(f", {c} {d.schema[c].dataType.simpleString()}" for c in held_columns))
+    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept", "kept_text"] * keep]
+    return done.select(F.col("id").alias(id), *names, *[F.col(h).alias(c) for h, c in zip(held_columns, carry)])
