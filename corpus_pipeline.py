@@ -30,10 +30,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes of 50-byte strings that also start in a document with a smaller id.
 
     A character that loses a byte is left out; a document may end up empty and stays."""
-    kept = dedup.remove_repeats(docs, keep=True).select(F.col("doc_id").alias("_id"), F.col("text_crc32").alias("_crc"), "kept_text").dropDuplicates(["_id", "_crc"])
-    rest = docs.withColumn("_crc", F.crc32(F.coalesce("text", F.lit("")).cast("binary"))).drop("text", "n_chars")
-    joined = rest.join(kept, rest["doc_id"].eqNullSafe(kept["_id"]) & (rest["_crc"] == kept["_crc"]))
-    return joined.withColumn("text", F.col("kept_text")).withColumn("n_chars", F.length("kept_text").cast("long")).select(docs.columns)
+    kept = dedup.remove_repeats(docs, keep=True, carry=tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars")))
+    return kept.withColumn("text", F.col("kept_text")).withColumn("n_chars", F.length("kept_text").cast("long")).select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
