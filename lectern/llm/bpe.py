@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, functions as F
 from .common import batch as rows_of, texts
 
 LEAF = 256  # symbols of a leaf
-CACHED = 200_000  # units whose encoding a worker remembers
+CACHED = 600_000  # units whose encoding a worker remembers
+STOPS = frozenset(".,;:!?")
 
 
 class WordBpe:
@@ -96,21 +97,31 @@ class WordBpe:
     def decode(self, ids: list[int]) -> str:
         return " ".join(self.token[i] for i in ids)
 
+    def _unit(self, u: str) -> tuple[int, str, str]:
+        """(tokens, ids, decoded) of one unit. A word with a stop behind it is two pre-tokens, and ASCII is looked up
+        in lower case, so that a word is encoded once in all its dresses."""
+        if u[-1:] in STOPS and u[:-1].isalpha():
+            a, b = self._known(u[:-1]), self._known(u[-1])
+            return a[0] + b[0], f"{a[1]} {b[1]}", f"{a[2]} {b[2]}"
+        if u.isascii() and u.isalpha() and (low := u.lower()) != u:
+            return self._known(low)
+        ids = self.unit(u)
+        return len(ids), " ".join(map(str, ids)), self.decode(ids)
+
+    def _known(self, u: str) -> tuple[int, str, str]:
+        got = self.known.get(u)
+        if got is None:
+            got = self._unit(u)
+            if len(u) < 64:
+                self.known[u] = got
+        return got
+
     def units(self, text: str) -> list[tuple[int, str, str]]:
-        """(tokens, ids, decoded) of each unit."""
-        out, known = [], self.known
-        if len(known) > CACHED:
-            known.clear()
-        for u in text.replace("\n", " ").split(" "):
-            got = known.get(u)
-            if got is None:
-                ids = self.unit(u)
-                got = len(ids), " ".join(map(str, ids)), self.decode(ids)
-                if len(u) < 64:
-                    known[u] = got
-            if got[0]:
-                out.append(got)
-        return out
+        """(tokens, ids, decoded) of each unit that has tokens."""
+        if len(self.known) > CACHED:
+            self.known.clear()
+        get, known = self.known.get, self._known
+        return [got for u in text.replace("\n", " ").split(" ") if u and (got := get(u) or known(u))[0]]
 
 
 @functools.lru_cache(2)
