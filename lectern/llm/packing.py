@@ -3,7 +3,8 @@
 The packing depends on lengths only, and there are at most ``capacity`` different ones. So the plan is made
 on the histogram of lengths, which stays that small at any size: for one bin a bitset subset-sum dynamic
 program finds the fullest feasible combination of available lengths; the combination is taken as often as the
-histogram allows, which uses up one length at least. Hence at most ``capacity`` combinations plan any corpus.
+histogram allows, after which fewer of one length are left than it took. So the number of combinations is bounded by
+the lengths and how often each fits a bin (about capacity * ln(capacity)), whatever the size of the corpus.
 Pieces then look up their place by rank among pieces of their length, a rank counted per partition and
 shifted by prefix sums, so a frequent length is never gathered in one task.
 """
@@ -160,11 +161,9 @@ def place(items: DataFrame, *, length: str = "length", order: tuple[str, ...] =
     rows = np.array(sorted(plan(histogram, capacity)) or np.zeros((0, 6)), np.int64)
 
     def run(batches):
-        starts = {int(k): np.searchsorted(rows[:, 0], k) for k in np.unique(rows[:, 0])}
+        index = {k: i for i, k in enumerate(np.unique(rows[:, 0]).tolist())}
         span = int(rows[:, 1].max(initial=0)) + 1
-        key = np.array([list(starts).index(k) for k in rows[:, 0].tolist()], np.int64)
-        index = {k: i for i, k in enumerate(starts)}
-        at = key * span + rows[:, 1]
+        at = np.array([index[k] for k in rows[:, 0].tolist()], np.int64) * span + rows[:, 1]
         for b in batches:
             size, rank = b.column("_len").to_numpy().astype(np.int64), b.column("_rank").to_numpy()
             lookup = np.array([index[int(k)] for k in size], np.int64) * span + np.minimum(rank, span - 1)
