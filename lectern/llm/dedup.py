@@ -9,8 +9,9 @@ of up to ``width - k + 1`` windows, sent as a hash. Then:
    smallest document's stand for all.
 2. Anchors under which different segments of different documents remain fetch these segments' bytes, a few
    at the ends of each repeated passage.
-3. Their suffixes are sorted with common prefixes by external induced sorting; runs of common prefixes of
-   ``width`` or more tell each window's smallest document.
+3. Their suffixes are sorted with common prefixes by induced sorting, whole anchors at a time; runs of common
+   prefixes of ``width`` or more tell each window's smallest document. An anchor with too many bytes for that has
+   its windows sorted by leading symbols instead.
 4. The removed spans meet the texts again. Both visits of the texts share one shuffle of compressed blobs.
 """
 
@@ -32,6 +33,8 @@ WIDTH, K = 50, 16
 BLOCK_BYTES = 12 << 20  # text whose anchors make one shard, and text of one bucket
 CHUNK = (1 << 22) - 256  # bytes whose windows are looked at together
 SORTED = 1 << 20  # bytes of segments whose suffixes are sorted at once
+WHOLE = 4 << 20  # bytes of segments up to which one sort takes all their suffixes
+WINDOWS = 1 << 18  # windows that are sorted at once where there are more bytes
 ODD = 0x9E3779B97F4A7C15
 
 
@@ -319,9 +322,11 @@ def _fetch(left: pa.Table, right: pa.Table) -> pa.Table:
 def repeated(who: np.ndarray, segments: list[bytes], width: int) -> list[tuple[int, int, int]]:
     """(segment, first, last window) of the windows that also start in a segment of a smaller document.
 
-    Sorts all suffixes of the segments, which zeros keep apart."""
+    Sorts all suffixes of the segments, which zeros keep apart; over ``WHOLE`` bytes, the windows by leading symbols."""
     size = np.array([len(x) for x in segments], np.int64)
     start = np.cumsum(size + 1) - size - 1
+    if int(size.sum()) > WHOLE:
+        return _spans(_by_symbols(who, segments, start, size, width), start)
     text = np.zeros(int((size + 1).sum()), np.int16)
     flat = np.frombuffer(b"".join(segments), np.uint8)
     where = np.arange(len(flat)) + np.repeat(np.arange(len(size)), size)
@@ -355,6 +360,50 @@ def repeated(who: np.ndarray, segments: list[bytes], width: int) -> list[tuple[i
         held = [(p[b:], e[b:])]
     if held:
         settle(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]))
+    return _spans(hit, start)
+
+
+def _by_symbols(who: np.ndarray, segments: list[bytes], start: np.ndarray, size: np.ndarray, width: int) -> np.ndarray:
+    """Which places of the segments, end to end with one byte between, start a window of a smaller document too.
+
+    Windows of one leading symbol are looked at together, and split by further symbols while they are more than
+    ``WINDOWS``; a part is sorted by all that is left of its windows. Besides the bytes and two flags each, only the
+    places of one leading symbol are held."""
+    text = np.frombuffer(b"\0".join(segments) + b"\0", np.uint8)
+    edge = np.zeros(len(text) + 1, np.int8)
+    long = size >= width
+    edge[start[long]] = 1
+    edge[(start + size - width + 1)[long]] -= 1
+    room = np.cumsum(edge[:-1], dtype=np.int8).view(bool)
+    hit = np.zeros(len(text), bool)
+    for c in range(256):
+        todo = [(np.flatnonzero(room & (text == c)), 1)]
+        while todo:
+            at, d = todo.pop()
+            if len(at) < 2:
+                continue
+            if len(at) > WINDOWS and d < width:
+                at = at[np.argsort(text[at + d], kind="stable")]
+                cut = runs(text[at + d])
+                todo += [(at[a:b].copy(), d + 1) for a, b in zip(cut[:-1], cut[1:])]
+                continue
+            doc = who[np.searchsorted(start, at, "right") - 1]
+            first = np.zeros(1, np.int64)
+            if d < width:
+                rest = np.zeros((len(at), -(-(width - d) // 8) * 8), np.uint8)
+                for k in range(d, width):
+                    rest[:, k - d] = text[at + k]
+                keys = rest.view(">u8").astype(np.uint64)
+                order = np.lexsort(keys.T[::-1])
+                at, doc, keys = at[order], doc[order], keys[order]
+                first = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(1)))
+            least = np.repeat(np.minimum.reduceat(doc, first), np.diff(np.append(first, len(at))))
+            hit[at[doc > least]] = True
+    return hit
+
+
+def _spans(hit: np.ndarray, start: np.ndarray) -> list[tuple[int, int, int]]:
+    """(segment, first, last window) of runs of places."""
     at = np.flatnonzero(hit)
     if not len(at):
         return []

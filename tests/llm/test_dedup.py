@@ -70,3 +70,30 @@ def test_segments_hold_each_window_once():
         assert windows == list(range(max(0, len(text) - 49)))
         alone = anchors(np.frombuffer(text, np.uint8))
         assert {(int(g), int(f)) for g, f in zip(gram[own], first[own])} >= {(int(g), int(f)) for g, f in zip(alone[0], alone[2])}
+
+
+def test_one_anchor_over_the_bound_is_split():
+    """An anchor's segments of several megabytes: equal to a dictionary, without eight-byte arrays of every suffix."""
+    import random
+    import tracemalloc
+
+    import numpy as np
+
+    from lectern.llm.dedup import WHOLE, repeated
+
+    r = random.Random(3)
+    some = [bytes(r.choice(b"ab ") for _ in range(34)) for _ in range(4000)]
+    segments = [r.choice(some) + b"an anchor of all" + r.choice(some) for _ in range(WHOLE // 84 + 5000)]
+    who = np.array([r.randint(1, 9000) for _ in segments], np.int64)
+    least: dict[bytes, int] = {}
+    for w, x in zip(who.tolist(), segments):
+        for i in range(len(x) - 49):
+            least[x[i : i + 50]] = min(w, least.get(x[i : i + 50], w))
+    want = {(j, i) for j, x in enumerate(segments) for i in range(len(x) - 49) if least[x[i : i + 50]] < who[j]}
+    del least
+    tracemalloc.start()
+    got = repeated(who, segments, 50)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {(j, i) for j, a, b in got for i in range(a, b + 1)} == want and want
+    assert peak < 40 * sum(map(len, segments)), peak
