@@ -2,7 +2,8 @@
 
 Each page's containers are scored by the running text in and under them, less link text; the best one votes
 for its path of tags and classes, digits generalised. Spark counts the votes by host, and each page is read
-again with its host's winning path, or its own best container where that path leads nowhere.
+again with its host's winning path, or that of its own best container where the host's leads nowhere: all
+containers on the path that hold running text, in page order.
 """
 
 from __future__ import annotations
@@ -140,12 +141,13 @@ class Page:
         return max(of, key=lambda e: (s[e], -e)) if of else -1
 
     def text(self, top: int) -> str:
-        """The blocks under an element, in page order."""
+        """The blocks under an element and under the others on its path that hold running text, in page order."""
         if top < 0:
             return ""
+        s = self.scores()
         inside = [False] * len(self.tag)
         for e in range(len(self.tag)):
-            inside[e] = e == top or self.parent[e] >= 0 and inside[self.parent[e]]
+            inside[e] = e == top or s[e] > 0 and self.path[e] == self.path[top] or self.parent[e] >= 0 and inside[self.parent[e]]
         return "\n\n".join(t for e, t, _ in self.blocks if inside[e])
 
 

@@ -204,6 +204,16 @@ def test_html_hosts_vote(spark):
     assert got[9] == 1 and got[10] == 4 and got[0] == 3
 
 
+def test_html_parts_of_one_path(spark):
+    prose = lambda name, n: f"<p>{name}: " + "prose of the article, with commas. " * n + "</p>"
+    links = '<div class="part-9"><ul>' + '<li><a href="x">One of many links</a></li>' * 5 + "</ul></div>"
+    for outer in ("div", "article"):
+        page = f'<body><{outer}><div class="part-1">{prose("a", 90)}</div>{links}<div class="part-2">{prose("b", 25)}</div></{outer}></body>'
+        rows = [(i, url, page) for i, url in enumerate(["http://h.example/", "http://h.example/2", None])]
+        for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect():
+            assert [t[:2] for t in r["text"].split("\n\n")] == ["a:", "b:"], r
+
+
 def test_preference_pairs(spark):
     rows = [(0, 0, "user", "hi"), (0, 1, "assistant", "yes"), (1, 0, "user", "hi"), (1, 1, "assistant", "no!"), (1, 2, "user", None), (2, 0, "user", "alone"), (4, 0, "user", "s"), (5, 0, "user", "s"), (None, 0, "user", "x"), (7, None, None, "late"), (6, 0, "user", "a"), (6, 0, "user", "a")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
