@@ -1,7 +1,7 @@
 """Alignment of two word sequences by the longest matching block, in Arrow batches.
 
-The matcher is the standard library's; ``autojunk`` is part of the semantics. Pairs longer than ``limit`` words
-on a side are not aligned but returned with the tag ``guarded``, so that nothing is lost unseen.
+The matcher is the standard library's; ``autojunk`` is part of the semantics. All pairs are aligned, unless a
+``limit`` is asked for: then pairs with more words on a side are returned with the tag ``guarded`` instead.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql.types import DoubleType
 OPCODES = "tag string, i1 int, i2 int, j1 int, j2 int"
 
 
-def opcodes(pairs: DataFrame, *key: str, autojunk: bool = False, limit: int = 20_000, equal: bool = True) -> DataFrame:
+def opcodes(pairs: DataFrame, *key: str, autojunk: bool = False, limit: int | None = None, equal: bool = True) -> DataFrame:
     """(key..., tag, i1, i2, j1, j2) of each row's word arrays ``a`` and ``b``."""
     kinds = ", ".join(f"`{k}` {pairs.schema[k].dataType.simpleString()}" for k in key)
 
@@ -25,7 +25,12 @@ def opcodes(pairs: DataFrame, *key: str, autojunk: bool = False, limit: int = 20
             rows = []
             for r in f.itertuples(index=False):
                 a, b = list(r.a), list(r.b)
-                ops = [("guarded", 0, len(a), 0, len(b))] if max(len(a), len(b)) > limit else difflib.SequenceMatcher(None, a, b, autojunk=autojunk).get_opcodes()
+                if limit is not None and max(len(a), len(b)) > limit:
+                    ops = [("guarded", 0, len(a), 0, len(b))]
+                elif a == b and not autojunk:  # what the matcher finds, without its search
+                    ops = [("equal", 0, len(a), 0, len(b))] if a else []
+                else:
+                    ops = difflib.SequenceMatcher(None, a, b, autojunk=autojunk).get_opcodes()
                 rows += [(*r[: len(key)], *o) for o in ops if equal or o[0] != "equal"]
             yield pd.DataFrame(rows, columns=[*key, "tag", "i1", "i2", "j1", "j2"])
 
@@ -81,7 +86,9 @@ def consensus(first: DataFrame, second: DataFrame, *key: str) -> DataFrame:
 
 
 def accuracy(ops: DataFrame, sizes: DataFrame, *key: str) -> DataFrame:
-    """Matches over truth words of all pairs together: (matched, truth_words, rate)."""
+    """Matches over truth words of all pairs together: (matched, truth_words, rate).
+
+    Pairs guarded by a limit have no matches but count in truth_words."""
     m = ops.where("tag = 'equal'").agg(F.coalesce(F.sum(F.col("i2") - F.col("i1")), F.lit(0)).alias("matched"))
     t = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("truth_words"))
     return m.join(t).withColumn("rate", F.col("matched") / F.greatest("truth_words", F.lit(1)))

@@ -294,3 +294,16 @@ def test_repairs(spark):
     assert d.select(T.repaired(F.col("t"), "מ", "ם")).first()[0] == "שלומי מבא שלום abc"
     assert d.select(T.replaced(F.col("t"), {"abc": "xyz", "של": "?"})).first()[0] == "שלוםי םבא שלום xyz"
     assert d.select(T.is_running_header(F.split("t", " "), "abc")).first()[0]
+
+
+def test_long_pairs_are_aligned(spark):
+    """20,001 words on a side: identical, and changed in places."""
+    a = [f"w{i % 5003}" for i in range(20_001)]
+    b = [*a[:700], "odd", *a[702:15_000], "new", *a[15_000:]]
+    p = spark.createDataFrame([(1, a, a), (2, a, b), (3, ["x"] * 20_001, ["x"] * 20_001), (4, [], [])], "k int, a array<string>, b array<string>")
+    ops = align.opcodes(p, "k").cache()
+    got = {k: [tuple(r)[1:] for r in ops.where(F.col("k") == k).orderBy("i1", "j1").collect()] for k in (1, 2, 3, 4)}
+    assert got[1] == got[3] == [("equal", 0, 20_001, 0, 20_001)] and got[4] == []
+    assert got[2] == difflib.SequenceMatcher(None, a, b, autojunk=False).get_opcodes()
+    r = align.accuracy(ops, p.select(F.size("a").alias("n"))).first()
+    assert (r["matched"], r["truth_words"]) == (60_001, 60_003)
