@@ -19,7 +19,6 @@ from .common import batch as rows_of, learnable, share, slices, tokens
 from .langid import letters
 
 SAMPLE = 4000  # labelled rows of each label from which terms, index and calibration are learnt
-TERMS = 1024  # terms of the index besides the one for all other words
 NEIGHBOURS, BLOCK, GRAM = 15, 64, 4
 CACHED = 200_000
 
@@ -91,28 +90,42 @@ class Index:
             else:
                 self.good[k] += weight[i]
         self.good, self.bad, self.who, self.block = np.array(self.good), np.array(self.bad), np.array(self.who, np.int64), block
-        self.dense = np.zeros((len(rows), width), np.float32)
-        for k, (term, w) in enumerate(rows):
-            self.dense[k, term] = w
-        self.rows = rows
-        starts = np.arange(0, max(1, len(rows)), block)
-        self.most = np.ascontiguousarray(np.maximum.reduceat(self.dense, starts, 0).T) if len(rows) else np.zeros((width, 0), np.float32)  # by term, each block's largest weight
+        self.at = np.concatenate([[0], np.cumsum([len(term) for term, _ in rows], dtype=np.int64)])
+        self.term = np.concatenate([np.zeros(0, np.int64), *[term for term, _ in rows]]).astype(np.int32)
+        self.w = np.concatenate([np.zeros(0), *[w for _, w in rows]]).astype(np.float32)
+        self.most = np.zeros((width, -(-len(rows) // block)), np.float32)  # by term, each block's largest weight
+        np.maximum.at(self.most, (self.term, np.repeat(np.arange(len(rows)) // block, np.diff(self.at))), self.w)
+        self.asked = np.zeros(width, np.float32)
+
+    def __len__(self) -> int:
+        return len(self.at) - 1
+
+    @property
+    def dense(self) -> np.ndarray:
+        """The entries as full rows, to look at; the search has no use for them."""
+        out = np.zeros((len(self), len(self.most)), np.float32)
+        out[np.repeat(np.arange(len(self)), np.diff(self.at)), self.term] = self.w
+        return out
 
     def nearest(self, term: np.ndarray, w: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Entries of the k highest cosines and these; ties go to the earlier entry."""
         w32 = w.astype(np.float32)
         bound = w32 @ self.most[term]
         order = np.argsort(-bound, kind="stable")
+        self.asked[term] = w32
         found, score, at, step = np.zeros(0, np.int64), np.zeros(0, np.float32), 0, 2
         while at < len(order) and (len(found) < k or bound[order[at]] >= score[-1] - 1e-6):
             blocks = order[at : at + step]
             rows = (blocks[:, None] * self.block + np.arange(self.block)).ravel()
-            rows = rows[rows < len(self.dense)]
-            s = self.dense[rows[:, None], term] @ w32
+            rows = rows[rows < len(self)]
+            size = self.at[rows + 1] - self.at[rows]
+            held = np.repeat(self.at[rows] - np.cumsum(size) + size, size) + np.arange(size.sum())
+            s = np.bincount(np.repeat(np.arange(len(rows)), size), self.w[held] * self.asked[self.term[held]], len(rows)).astype(np.float32)
             found, score = np.concatenate([found, rows]), np.concatenate([score, s])
             best = np.lexsort((found, -score))[:k]
             found, score = found[best], score[best]
             at, step = at + step, step * 2
+        self.asked[term] = 0
         return found, score
 
 
@@ -126,7 +139,7 @@ class Model:
 
     def vote(self, term: np.ndarray, w: np.ndarray) -> tuple[float, list[tuple[int, float]]]:
         """The share of toxic among the neighbours, weighted by nearness; the prior has the weight of a far one."""
-        if not len(term) or not len(self.index.dense):
+        if not len(term) or not len(self.index):
             return self.prior, []
         key = term.tobytes() + w.tobytes()
         got = self.seen.get(key)
@@ -177,10 +190,11 @@ def _term_counts(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "term string, toxic int, n long")
 
 
-def train(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE, terms: int = TERMS, k: int = NEIGHBOURS):
+def train(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE, terms: int | None = None, k: int = NEIGHBOURS):
     """A broadcast model, or None without learnable labelled rows of both kinds.
 
-    Learns from at most about ``sample`` rows of each label (all, if fewer). Rows with a null id or label, and
+    Learns from at most about ``sample`` rows of each label (all, if fewer), and indexes every term that tells the
+    labels apart in these, unless only ``terms`` of them are asked for. Rows with a null id or label, and
     held-out rows, are not learnt from; null texts count as empty. An id labelled twice takes the larger label."""
     sc = docs.sparkSession.sparkContext
     y = labels.select(F.col(f"`{id}`").alias("id"), F.col(f"`{label}`").cast("int").alias("toxic")).where("id is not null and toxic is not null").groupBy("id").agg(F.max("toxic").alias("toxic"))
@@ -204,7 +218,8 @@ def train(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str =
         a, b, whole = F.col("a"), F.col("b"), float(n0 + n1)
         ratio = 2 * (part(a, (a + b) * (n0 / whole)) + part(b, (a + b) * (n1 / whole)) + part(n0 - a, (n0 + n1 - a - b) * (n0 / whole)) + part(n1 - b, (n0 + n1 - a - b) * (n1 / whole)))
         # only terms that toxic texts have at least three times as often
-        chosen = c.where((b >= 3) & (b * n0 >= 3 * a * n1)).withColumn("g", ratio).where("g >= 8").orderBy(F.desc("g"), "term").limit(terms).collect()
+        chosen = c.where((b >= 3) & (b * n0 >= 3 * a * n1)).withColumn("g", ratio).where("g >= 8").orderBy(F.desc("g"), "term")
+        chosen = (chosen if terms is None else chosen.limit(terms)).collect()
         idf = np.array([*[np.log((1 + whole) / (1 + r["a"] + r["b"])) + 1 for r in chosen], 1.0])
         vocabulary = Vocabulary([r["term"] for r in chosen], idf)
         shared = sc.broadcast((list(vocabulary.terms), idf))

@@ -270,6 +270,20 @@ def test_toxicity(spark):
     assert toxicity.train(docs, spark.createDataFrame([], "doc_id long, toxic int")) is None
 
 
+def test_toxicity_of_more_words_than_the_former_cap(spark):
+    """Toxic words over 250 stems, 8 terms each: every one of them is indexed, so no toxic text looks clean."""
+    r = random.Random(4)
+    word = lambda letters, n: "".join(r.choice(letters) for _ in range(n))
+    bad, clean = [word("qxzvkj", 10) for _ in range(250)], [word("abcdefgh", 6) for _ in range(300)]
+    rows = [(i, " ".join([r.choice(clean) for _ in range(20)] + ([bad[i // 2 % 250]] * 2 if i % 2 else []))) for i in range(12_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame([(i, i % 2) for i in range(12_000)], "doc_id long, toxic int"))
+    assert len(model.value.vocabulary.terms) > 1024
+    assert set(bad) <= set(model.value.vocabulary.terms)
+    asked = spark.createDataFrame([(i, f"{clean[i]} {b} {clean[i + 1]}") for i, b in enumerate(bad)], "doc_id long, text string")
+    assert toxicity.toxicity(asked, model).where("toxic_score >= 0.7").count() == 250
+
+
 def test_index_is_exact():
     r = np.random.default_rng(1)
     vectors = []
