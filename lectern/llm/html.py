@@ -8,6 +8,9 @@ containers on the path that hold running text, in page order.
 
 from __future__ import annotations
 
+import collections
+import functools
+import hashlib
 import html as entities
 import re
 
@@ -16,10 +19,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import batch as rows_of, checkpoint, texts
 
+# attributes are looked through for quotes that hide a ">" as far as this; behind it the next ">" ends a tag
+QUOTED = r"(?:[^>\"']{1,4096}+|\"[^\"]{0,4096}+\"|'[^']{0,4096}+'){0,64}+"
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|iframe|textarea|title|svg|math|object|select)\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attr>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    rf"|<(?P<raw>script|style|noscript|template|iframe|textarea|title|svg|math|object|select)\b{QUOTED}>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attr>{QUOTED})>"
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*+)(?P<attr2>[^>]*+)>"
     r"|<[!?][^>]*+>",
     re.S | re.I,
@@ -32,6 +37,10 @@ OUT_ROLES = frozenset("navigation banner contentinfo complementary search form d
 OUT_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs sidebar side footer header masthead cookie cookies consent notice notices alert gdpr popup modal overlay comment comments disqus replies respond share sharing social related recommended recommendations newsletter subscribe subscription signup login widget pagination pager toolbar copyright disclaimer paywall".split()
 )
+# in a name of several words these tell that it only mentions such a part, and these that the first word names the part
+MENTION = frozenset("has have no not with without is by and or open closed enabled disabled show hide hidden visible".split())
+BOX = frozenset("list box section area block wrap wrapper container inner item items links group panel row col bar body thread".split())
+TRUST, STAYS = (1.0, 0.7, 0.25, 0.25), (0.0, 0.4, 0.8, 0.8)  # by doubt: what text below is worth, and from what share of the article on it stays
 CLOSES_P = frozenset("address article aside blockquote center details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPE = frozenset("ul ol dl table div article section main body td th blockquote".split())
@@ -39,25 +48,41 @@ WORDS = re.compile(r"[A-Za-z][a-z]+|[A-Z]+(?![a-z])")
 PROSE = frozenset("p pre blockquote li dd td h1 h2 h3 h4 h5 h6".split())
 
 
+@functools.lru_cache(65_536)
+def doubt(said: str) -> int:
+    """How surely class and id name a part that is no article: 0 not at all, 1 mentioned, 2 the head of a name, 3 the name."""
+    level = 0
+    for name in said.split():
+        words = [w.lower() for w in WORDS.findall(name)]
+        if OUT_WORDS.isdisjoint(words):
+            continue
+        if OUT_WORDS.issuperset(words):
+            return 3
+        head = MENTION.isdisjoint(words) and (words[-1] in OUT_WORDS or words[0] in OUT_WORDS and words[-1] in BOX)
+        level = max(level, 1 + head)
+    return level
+
+
 class Page:
-    """Blocks of text in page order with their elements, and the elements' parents, paths and scores."""
+    """Blocks of text in page order with their elements, and the elements' parents, paths and scores.
 
-    def __init__(self, html: str):
-        self.tag, self.parent, self.path, self.out = ["#"], [-1], [""], [False]
+    Tags and roles, and names that say nothing else, put an element out. Names that only mention such a part make
+    its text worth less; whether it is left out depends on its share of the article. If names leave nothing of a
+    page, they put nothing out (``strict`` off)."""
+
+    def __init__(self, html: str, strict: bool = True):
+        self.tag, self.parent, self.path, self.out, self.box, self.doubt = ["#"], [-1], [""], [False], [0], [0]
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters in links
-        stack, pieces, link, at = [0], [], 0, 0
-        linked = 0
+        self.trust = [1.0]
+        stack, open_, pieces, link, at = [0], collections.Counter(), [], 0, 0
+        linked, named = 0, False
 
         def flush():
             nonlocal pieces, linked
             if pieces:
                 text = " ".join("".join(pieces).split())
-                if text:
-                    e = stack[-1]
-                    while e and self.tag[e] in INLINE:
-                        e = self.parent[e]
-                    if not self.out[stack[-1]]:
-                        self.blocks.append((e, text, min(linked, len(text))))
+                if text and not self.out[stack[-1]]:
+                    self.blocks.append((self.box[stack[-1]], text, min(linked, len(text))))
             pieces, linked = [], 0
 
         def say(text):
@@ -67,7 +92,25 @@ class Page:
                 pieces.append(text)
                 linked += len(text) * bool(link)
 
-        for m in TOKEN.finditer(html):
+        def close(k):
+            nonlocal link
+            for e in stack[k:]:
+                open_[self.tag[e]] -= 1
+                link -= self.tag[e] == "a"
+            del stack[k:]
+
+        def nearest(names, stop=frozenset()):
+            """Where the nearest open element of these names is in the stack, 0 if none is or one of ``stop`` lies before it."""
+            if any(open_[n] for n in names):
+                for i in range(len(stack) - 1, 0, -1):
+                    if self.tag[stack[i]] in names:
+                        return i
+                    if self.tag[stack[i]] in stop:
+                        return 0
+            return 0
+
+        end = html.rfind(">") + 1  # no tag ends behind it
+        for m in TOKEN.finditer(html, 0, end):
             if m.start() > at:
                 say(html[at : m.start()])
             at = m.end()
@@ -78,60 +121,65 @@ class Page:
                 continue
             name = name.lower()
             if m["end"] or m["end2"]:
-                k = next((i for i in range(len(stack) - 1, 0, -1) if self.tag[stack[i]] == name), 0)
+                k = nearest((name,))
                 if not k or name in INLINE and any(self.tag[e] not in INLINE for e in stack[k:]):
                     continue
                 if name not in INLINE:
                     flush()
-                for e in stack[k:]:
-                    link -= self.tag[e] == "a"
-                del stack[k:]
+                close(k)
                 continue
             if name == "br":
                 pieces.append("\n")
                 continue
             if name not in INLINE:
                 flush()
-                if name in CLOSES_P:
-                    k = next((i for i in range(len(stack) - 1, 0, -1) if self.tag[stack[i]] == "p" or self.tag[stack[i]] in SCOPE), 0)
-                    if k and self.tag[stack[k]] == "p":
-                        link -= sum(self.tag[e] == "a" for e in stack[k:])
-                        del stack[k:]
-                if name in SAME:
-                    k = next((i for i in range(len(stack) - 1, 0, -1) if self.tag[stack[i]] in SAME[name] or self.tag[stack[i]] in SCOPE - {"td", "th"}), 0)
-                    if k and self.tag[stack[k]] in SAME[name]:
-                        link -= sum(self.tag[e] == "a" for e in stack[k:])
-                        del stack[k:]
+                if name in CLOSES_P and (k := nearest(("p",), SCOPE)):
+                    close(k)
+                if name in SAME and (k := nearest(SAME[name], SCOPE - {"td", "th"})):
+                    close(k)
             if name in VOID:
                 continue
             attr = m["attr"] if m["tag"] else m["attr2"]
-            label, out = name, self.out[stack[-1]] or name in OUT
+            label, out, level = name, self.out[stack[-1]] or name in OUT, 0
             if attr and attr.strip(" /"):
                 found = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(attr)}
-                said = f"{found.get('class', '')} {found.get('id', '')}"
-                out = out or "hidden" in found and found["hidden"] != "until-found" or found.get("aria-hidden") == "true" or found.get("role", "") in OUT_ROLES or name not in ("body", "html", "main", "article") and not OUT_WORDS.isdisjoint(x.lower() for x in WORDS.findall(said))
+                out = out or "hidden" in found and found["hidden"] != "until-found" or found.get("aria-hidden") == "true" or found.get("role", "") in OUT_ROLES
+                if name not in ("body", "html", "main", "article"):
+                    level = doubt(f"{found.get('class', '')} {found.get('id', '')}")
+                    if level == 3 and strict and not out:
+                        out = named = True
                 if found.get("class"):
                     label += "." + ".".join(sorted({re.sub(r"\d+", "#", c) for c in found["class"].split()}))
             if attr and attr.endswith("/") and name not in INLINE and name not in SCOPE and name not in PROSE:
                 continue
-            self.tag.append(name), self.parent.append(stack[-1]), self.out.append(out)
-            self.path.append(self.path[stack[-1]] + ("/" + label if name not in INLINE else ""))
+            up, block = stack[-1], name not in INLINE
+            path = self.path[up] + "/" + label if block else self.path[up]
+            if len(path) > 1024:  # of a deep element: a digest, so that paths don't add up to the square of the depth
+                path = "#" + hashlib.blake2b(path.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+            self.box.append(len(self.tag) if block else self.box[up])
+            self.tag.append(name), self.parent.append(up), self.out.append(out), self.path.append(path)
+            self.doubt.append(level), self.trust.append(min(self.trust[up], TRUST[level]))
             stack.append(len(self.tag) - 1)
+            open_[name] += 1
             link += name == "a"
         say(html[at:])
         flush()
+        if named and not self.blocks:
+            self.__init__(html, strict=False)
 
     def scores(self) -> list[float]:
-        """Each block's unlinked length for the containers above it, halved with each step up."""
+        """Each block's unlinked length, as far as trusted, for the containers above it, halved with each step up."""
         out = [0.0] * len(self.tag)
         for e, text, linked in self.blocks:
-            worth = max(0.0, len(text) - 2.0 * linked) * (1.0 if self.tag[e] in PROSE or len(text) > 80 else 0.4)
-            up = self.parent[e] if self.tag[e] in PROSE and self.parent[e] >= 0 else e
-            while up >= 0 and worth > 0.5:
-                if self.tag[up] not in INLINE:
-                    out[up] += worth * (1.5 if self.tag[up] in ("article", "main") else 1.0)
-                    worth /= 2
-                up = self.parent[up]
+            prose = self.tag[e] in PROSE
+            worth = max(0.0, len(text) - 2.0 * linked) * (1.0 if prose or len(text) > 80 else 0.4) * self.trust[e]
+            up = self.box[self.parent[e]] if prose and e else e
+            while worth > 0.5:
+                out[up] += worth * (1.5 if self.tag[up] in ("article", "main") else 1.0)
+                worth /= 2
+                if not up:
+                    break
+                up = self.box[self.parent[up]]
         return out
 
     def best(self, path: str | None = None) -> int:
@@ -141,14 +189,26 @@ class Page:
         return max(of, key=lambda e: (s[e], -e)) if of else -1
 
     def text(self, top: int) -> str:
-        """The blocks under an element and under the others on its path that hold running text, in page order."""
+        """The blocks under an element and under the others on its path that hold running text, in page order, without
+        the parts in them whose names put them in doubt and that hold too little of their text."""
         if top < 0:
             return ""
-        s = self.scores()
-        inside = [False] * len(self.tag)
-        for e in range(len(self.tag)):
-            inside[e] = e == top or s[e] > 0 and self.path[e] == self.path[top] or self.parent[e] >= 0 and inside[self.parent[e]]
-        return "\n\n".join(t for e, t, _ in self.blocks if inside[e])
+        s, n = self.scores(), len(self.tag)
+        size = [0] * n
+        for e, text, linked in self.blocks:
+            size[e] += len(text) - linked
+        for e in range(n - 1, 0, -1):
+            size[self.parent[e]] += size[e]
+        winner = [e == top or s[e] > 0 and self.box[e] == e and self.path[e] == self.path[top] for e in range(n)]
+        holds = list(winner)  # a winner or one below
+        for e in range(n - 1, 0, -1):
+            holds[self.parent[e]] |= holds[e]
+        of = [-1] * n  # the winner that an element belongs to
+        for e in range(n):
+            of[e] = e if winner[e] else of[self.parent[e]] if e else -1
+            if of[e] >= 0 and self.doubt[e] and not holds[e] and size[e] < STAYS[self.doubt[e]] * size[of[e]]:
+                of[e] = -1
+        return "\n\n".join(t for e, t, _ in self.blocks if of[e] >= 0)
 
 
 def host(url):
