@@ -1,13 +1,14 @@
 """Language identification by interpolated Kneser-Ney character models, one a language.
 
 A model is five sorted arrays of n-gram hashes with log-probabilities and back-off weights. It sees words
-between end marks, so a word costs the same wherever it stands and each worker computes it once. The
-language of the lowest cross-entropy per character wins; on a part of the sample that trained no counts, the
-confidence is calibrated, and so is the cross-entropy above which no language is accepted.
+between end marks, so a word costs the same wherever it stands and is scored once for a batch, in lower case and
+without what is no letter. The language of the lowest cross-entropy per character wins; on a part of the sample
+that trained no counts, the confidence is calibrated, and so is the cross-entropy above which no language is accepted.
 """
 
 from __future__ import annotations
 
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -16,15 +17,21 @@ from pyspark.sql import DataFrame, functions as F
 from .common import U64, batch as rows_of, learnable, mix, share, slices, tokens
 
 ORDER = 5
+SIGNS = re.compile(r"[\W\d_]+")
 SAMPLE = 800  # rows of a language from which its model is learnt, a fifth of them for calibration
-CACHED = 200_000
+SAMPLE_BYTES = 16 << 20  # of text of a language from which its model is learnt
+CALIBRATED = 20  # learnable rows from which a fifth of a language's sample is held for calibration
 UNDETERMINED = "und"
 
 
 def letters(token: str) -> str:
     """A token in lower case without what is no letter."""
     token = token.lower()
-    return token if token.isalpha() else "".join([c for c in token if c.isalpha()])
+    if not token.isalpha():
+        token = SIGNS.sub("", token)
+        if not token.isalpha():  # numerals that are no digits
+            return "".join([c for c in token if c.isalpha()])
+    return token
 
 
 def _hashes(words: list[str], order: int) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
@@ -45,12 +52,13 @@ def _hashes(words: list[str], order: int) -> tuple[list[np.ndarray], list[np.nda
 
 
 class KneserNey:
-    """One language's model; ``key[n]`` is sorted, ``logp[n]`` and ``backoff[n]`` lie beside it."""
+    """One language's model; ``key[n]`` is sorted, ``logp[n]`` and ``backoff[n]`` lie beside it, and so do the hashes of
+    each n-gram without its last and without its first character."""
 
     def __init__(self, words: list[str], counts: np.ndarray, order: int = ORDER):
         grams, real, size = _hashes(words, order)
         weight = np.repeat(counts.astype(np.float64), size)
-        self.key, self.logp, self.backoff = [], [], []
+        self.key, self.logp, self.backoff, self.context, self.rest = [], [], [], [], []
         tables = []
         for n in range(order):
             at = np.flatnonzero(real[n])
@@ -82,75 +90,93 @@ class KneserNey:
                 b[np.searchsorted(tables[n - 1][0], group)] = np.log(gamma)
                 self.backoff.append(b)
             lower = p
-            self.key.append(key), self.logp.append(np.log(p).astype(np.float32))
+            self.key.append(key), self.logp.append(np.log(p).astype(np.float32)), self.context.append(context), self.rest.append(rest)
         self.backoff.append(np.zeros(len(tables[-1][0]), np.float32))
 
-    def word_costs(self, grams, real, size) -> np.ndarray:
-        """Negative log-probability of each word's letters and its end mark."""
-        lp = None
-        for n in range(len(self.key)):
-            key = self.key[n]
-            at = np.minimum(np.searchsorted(key, grams[n]), max(0, len(key) - 1))
-            found = (key[at] == grams[n]) & real[n] if len(key) else np.zeros(len(grams[n]), bool)
-            if n == 0:
-                lp = np.where(found, self.logp[0][at] if len(key) else 0, self.unknown).astype(np.float64)
-            else:
-                back = np.zeros(len(lp))
-                back[1:] = seen_backoff[:-1]
-                lp = np.where(found, self.logp[n][at], lp + np.where(real[n], back, 0))
-            seen_backoff = np.where(found, self.backoff[n][at] if len(key) else 0, 0)
-        start = np.cumsum(size) - size
-        lp[start] = 0  # the first mark is given
-        return -np.add.reduceat(lp, start)
+
+class Lookup:
+    """Places of 64-bit hashes in a sorted array. They are uniform, so their leading bits lead next to the place."""
+
+    def __init__(self, key: np.ndarray):
+        bits = max(1, int(2 * len(key)).bit_length())
+        self.shift = U64(64 - bits)
+        self.start = np.searchsorted(key, np.arange(1 << bits, dtype=U64) << self.shift).astype(np.int32)
+        self.key = np.concatenate([key, [U64(2**64 - 1)]])
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = self.start[h >> self.shift]
+        behind = np.flatnonzero(self.key[at] < h)
+        while len(behind):
+            at[behind] += 1
+            behind = behind[self.key[at[behind]] < h[behind]]
+        return at, (self.key[at] == h) & (at < len(self.key) - 1)
 
 
 class Scorer:
-    """Costs of words under every language, remembered by token."""
+    """All languages' models in one: each order's n-grams of any language in one sorted array of hashes, beside it a
+    row of log-probabilities and one of back-off weights, a column a language. Where a language has not seen an
+    n-gram that another has, its column holds what backing off gives, so one look-up serves all."""
 
     def __init__(self, models: list[KneserNey]):
-        self.models, self.index = models, {}
-        self.cost, self.size = np.zeros((1024, len(models))), np.zeros(1024, np.int64)
-
-    def of(self, names: list[str]) -> np.ndarray:
-        """Rows of ``cost`` and ``size`` of the tokens."""
-        if len(self.index) > CACHED:
-            self.index = {}
-        index, new = self.index, []
-        for t in names:
-            if t not in index:
-                index[t] = len(index)
-                new.append(t)
-        while len(self.size) < len(index):
-            self.cost, self.size = np.concatenate([self.cost, np.zeros_like(self.cost)]), np.concatenate([self.size, np.zeros_like(self.size)])
-        for a in range(0, len(new), 50_000):
-            some = new[a : a + 50_000]
-            words = [letters(t) for t in some]
-            rows = np.array([index[t] for t in some])
-            has = np.array([bool(w) for w in words])
-            self.cost[rows], self.size[rows] = 0, 0
-            if has.any():
-                grams, real, size = _hashes([w for w in words if w], len(self.models[0].key))
-                self.size[rows[has]] = size - 1
-                for k, m in enumerate(self.models):
-                    self.cost[rows[has], k] = m.word_costs(grams, real, size)
-        return np.array([index[t] for t in names], np.int64)
+        self.unknown = np.array([m.unknown for m in models], np.float32)
+        self.logp, self.backoff, self.look = [], [], []
+        for n in range(len(models[0].key)):
+            key, first = np.unique(np.concatenate([m.key[n] for m in models]), return_index=True)
+            context, rest = (np.concatenate([getattr(m, side)[n] for m in models])[first] for side in ("context", "rest"))
+            if n == 0:
+                logp = np.repeat(self.unknown[None, :], len(key), 0)
+            else:
+                logp = self.logp[-1][self.look[-1].find(rest)[0]] + self.backoff[-1][self.look[-1].find(context)[0]]
+            backoff = np.zeros((len(key), len(models)), np.float32)
+            for k, m in enumerate(models):
+                at = np.searchsorted(key, m.key[n])
+                logp[at, k], backoff[at, k] = m.logp[n], m.backoff[n]
+            self.logp.append(logp), self.backoff.append(backoff), self.look.append(Lookup(key))
+
+    def word_costs(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Of each word, none empty, the negative log-probability of its letters and end mark by language, and their number."""
+        grams, real, size = _hashes(words, len(self.look))
+        at, found = self.look[0].find(grams[0])
+        lp = np.where(found[:, None], self.logp[0][np.where(found, at, 0)], self.unknown)
+        for n in range(1, len(self.look)):
+            context = np.flatnonzero(real[n][1:] & found[:-1]) + 1
+            known = found[context]  # an n-gram is only known if what it holds is
+            place, hit = self.look[n].find(grams[n][context[known]])
+            known[known] = hit
+            to, less = context[known], context[~known]
+            lp[less] += self.backoff[n - 1][at[less - 1]]
+            at, found = np.zeros(len(lp), np.int32), np.zeros(len(lp), bool)
+            at[to], found[to] = place[hit], True
+            lp[to] = self.logp[n][place[hit]]
+        start = np.cumsum(size) - size
+        lp[start] = 0  # the first mark is given
+        return -np.add.reduceat(lp, start, 0, np.float64), size - 1
 
     def texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Cross-entropy of each text per character by language, and the characters."""
+        """Cross-entropy of each text per character by language, and the characters. Each word of the column is scored once."""
         codes, at, names = tokens(column)
-        rows = self.of(names)[codes] if len(names) else codes
-        doc = np.repeat(np.arange(len(at) - 1), np.diff(at))
-        size = np.bincount(doc, self.size[rows], len(at) - 1) if len(rows) else np.zeros(len(at) - 1)
-        cost = np.stack([np.bincount(doc, self.cost[rows, k], len(at) - 1) for k in range(len(self.models))], 1) if len(rows) else np.zeros((len(at) - 1, len(self.models)))
-        return cost / np.maximum(size, 1)[:, None], size
+        n, width = len(at) - 1, len(self.unknown)
+        if not len(codes):
+            return np.zeros((n, width)), np.zeros(n)
+        place: dict[str, int] = {}
+        word = np.array([place.setdefault(letters(t), len(place)) for t in names], np.int64)
+        cost, size = np.zeros((len(place), width)), np.zeros(len(place), np.int64)
+        some = [(w, i) for w, i in place.items() if w]
+        for a in range(0, len(some), 50_000):
+            here = some[a : a + 50_000]
+            cost[[i for _, i in here]], size[[i for _, i in here]] = self.word_costs([w for w, _ in here])
+        rows, doc = word[codes], np.repeat(np.arange(n), np.diff(at))
+        total = np.bincount(doc, size[rows], n)
+        whole = np.stack([np.bincount(doc, cost[rows, k], n) for k in range(width)], 1)
+        return whole / np.maximum(total, 1)[:, None], total
 
 
 class Model:
     """Languages in order, their models, and what calibration set."""
 
     def __init__(self, languages: list[str], models: list[KneserNey]):
-        self.languages, self.models = languages, models
-        self.sharpness, self.limit = 8.0, np.full(len(languages), np.inf)
+        self.languages, self.scorer = languages, Scorer(models)
+        self.sharpness, self.limit, self.room = 8.0, np.full(len(languages), np.inf), 0.0
 
     def decide(self, entropy: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Best language, its confidence, and whether the text is rejected: no letters, or unlike every language."""
@@ -158,11 +184,14 @@ class Model:
         low = entropy[np.arange(len(best)), best]
         z = -(entropy - low[:, None]) * (self.sharpness * size / (size + 20))[:, None]
         p = 1 / np.exp(z).sum(1)
-        return best, p, (size == 0) | (low > self.limit[best] + 8 / np.sqrt(np.maximum(size, 1)))
+        return best, p, (size == 0) | (low > self.limit[best] + self.room / np.sqrt(np.maximum(size, 1)))
 
     def calibrate(self, entropy: np.ndarray, size: np.ndarray, true: np.ndarray) -> None:
-        """The sharpness that makes the confidences likeliest; by language, the limit of acceptance: a tenth
-        over what all but one in 200 of its own texts need, and over half the way to texts of other languages."""
+        """The sharpness that makes the confidences likeliest, and what is rejected.
+
+        A language's limit lies half the way from its own texts to those of other languages; above it lies room that
+        falls with the square root of a text's length. The room is the least that accepts all n calibration rows, so
+        that of further rows like them no more than one in n + 1 is expected to be rejected."""
         ok = size > 0
         entropy, size, true = entropy[ok], size[ok], true[ok]
         if not len(true):
@@ -177,8 +206,10 @@ class Model:
         for k in range(len(self.languages)):
             own, other = entropy[true == k, k], entropy[true != k, k]
             if len(own):
-                high = float(np.quantile(own, 0.995))
-                self.limit[k] = 1.1 * max(high, (float(np.median(own)) + float(np.median(other))) / 2 if len(other) else high * 1.1)
+                self.limit[k] = (float(np.median(own)) + float(np.median(other))) / 2 if len(other) else 2 * float(np.median(own))
+        best = entropy.argmin(1)
+        over = (entropy[np.arange(len(best)), best] - self.limit[best]) * np.sqrt(size)
+        self.room = float(np.max(over, initial=0.0, where=np.isfinite(over)))
 
 
 def _word_counts(docs: DataFrame) -> DataFrame:
@@ -201,7 +232,7 @@ def _word_counts(docs: DataFrame) -> DataFrame:
 
 def _entropies(docs: DataFrame, model, columns: str) -> DataFrame:
     def run(batches):
-        scorer = Scorer(model.value.models)
+        scorer = model.value.scorer
         for b in batches:
             for s in slices(b, "text"):
                 entropy, size = scorer.texts(s.column("text"))
@@ -210,18 +241,21 @@ def _entropies(docs: DataFrame, model, columns: str) -> DataFrame:
     return docs.select("lang", "text").mapInArrow(run, columns)
 
 
-def train(docs: DataFrame, *, id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE, order: int = ORDER):
-    """A broadcast model from at most about ``sample`` rows of each language (all, if fewer), or None without any.
+def train(docs: DataFrame, *, id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES, order: int = ORDER):
+    """A broadcast model from at most about ``sample`` rows and ``sample_bytes`` of each language (all, if less), or None
+    without any.
 
-    Rows with null text, language or id, and held-out rows, are not learnt from."""
+    Rows with null text, language or id, and held-out rows, are not learnt from. Of a language with few rows all
+    train its counts; then calibration goes without it and nothing is rejected as unlike it."""
     d = learnable(docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang")), "id")
     d = d.where("_learn and lang is not null and text is not null")
-    count = {r[0]: r[1] for r in d.groupBy("lang").count().collect()}  # a row a language
+    count = {r[0]: (r[1], r[2]) for r in d.groupBy("lang").agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).collect()}  # a row a language
     if not count:
         return None
-    rate = F.create_map(*[F.lit(x) for k, n in count.items() for x in (k, sample / n)])
-    d = d.where(share("id", seed="language sample") < rate[F.col("lang")]).withColumn("u", share("id", seed="language calibration"))
-    learnt = _word_counts(d.where("u >= 0.2").select("lang", "text"))
+    of = lambda f: F.create_map(*[F.lit(x) for k, v in count.items() for x in (k, f(*v))])[F.col("lang")]
+    held = of(lambda n, _: 0.2 if n >= CALIBRATED else 0.0)
+    d = d.where(share("id", seed="language sample") < of(lambda n, size: min(sample / n, sample_bytes / max(size, 1)))).withColumn("held", share("id", seed="language calibration") < held)
+    learnt = _word_counts(d.where("not held").select("lang", "text"))
     words = learnt.toPandas()
     languages = sorted(words["lang"].unique())
     if not languages:
@@ -230,11 +264,11 @@ def train(docs: DataFrame, *, id: str = "doc_id", text: str = "text", lang: str
     model = Model(languages, models)
     sc = docs.sparkSession.sparkContext
     first = sc.broadcast(model)
-    held = _entropies(d.where("u < 0.2"), first, "lang string, entropy array<double>, size double").toPandas()
+    held = _entropies(d.where("held"), first, "lang string, entropy array<double>, size double").toPandas()
     held = held[held["lang"].isin(languages)]
     if len(held):
         model.calibrate(np.stack(held["entropy"].to_numpy()), held["size"].to_numpy(), np.array([languages.index(x) for x in held["lang"]]))
-    first.unpersist()
+    first.destroy()
     return sc.broadcast(model)
 
 
@@ -249,14 +283,13 @@ def identify(docs: DataFrame, model, *, id: str = "doc_id", text: str = "text")
 
     def run(batches):
         m = model.value if model is not None else None
-        scorer = Scorer(m.models) if m else None
         for b in batches:
-            for s in slices(b, text):
+            for s in slices(b, text, 8 << 20):
                 if m is None:
                     n = s.num_rows
                     pred, p, low, out = [UNDETERMINED] * n, np.zeros(n), np.full(n, np.nan), np.ones(n, bool)
                 else:
-                    entropy, size = scorer.texts(s.column(text))
+                    entropy, size = m.scorer.texts(s.column(text))
                     best, p, out = m.decide(entropy, size)
                     some = size > 0
                     pred = [m.languages[k] if o else UNDETERMINED for k, o in zip(best, some)]
