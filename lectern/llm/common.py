@@ -136,3 +136,9 @@ def learnable(docs: DataFrame, id: str) -> DataFrame:
 def share(*columns: str, seed: str):
     """A fixed pseudo-random number from 0 to 1 of each row."""
     return (F.xxhash64(*columns, F.lit(seed)).bitwiseAND(F.lit((1 << 52) - 1))) / F.lit(float(1 << 52))
+
+
+def salted(many: DataFrame, few: DataFrame, on: list[str], by: str, how: str = "inner", salts: int = 8) -> DataFrame:
+    """``many`` joined with ``few``, which has a row a key; a key's rows of ``many`` are dealt to ``salts`` tasks by a hash of ``by``."""
+    dealt = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return many.withColumn("_salt", F.pmod(F.xxhash64(by, F.lit("salt")), F.lit(salts)).cast("int")).join(dealt, [*on, "_salt"], how).drop("_salt")

@@ -7,26 +7,31 @@ all overlaps; it is formed in blocks and most of it is proved empty from set siz
    diagonal and goes.
 2. A row of n shingles must overlap a partner in ceil(t * n) columns at least, so rows that keep fewer go;
    of the others, any partner shares one of the rarest ``kept - ceil(t * n) + 1`` kept columns.
-3. Rows that share such a column fall in one row group (components, smallest label); a group is sorted by
-   size and cut in row blocks, and each pair of row blocks that sizes allow is one task. It accumulates
-   overlap counts from the columns' posting lists, discards pairs below the size-derived bound, and
-   returns a spanning forest of the links, never all pairs.
+3. Rows that share such a column fall in one row group (components, smallest label); a group is dealt out in row
+   blocks by classes of size, of a bounded number of rows and shingles, and each pair of row blocks that sizes
+   allow is one task. It accumulates overlap counts from the columns' posting lists, discards pairs below the
+   size-derived bound, and returns a spanning forest of the links, never all pairs.
 4. Components of those forests are the answer. Equal sets are one row of the matrix throughout.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from .common import U64, batch as rows_of, checkpoint, grouped, mix, pack, parts, runs, slices, texts, unpack, volume
+from .common import U64, batch as rows_of, checkpoint, grouped, mix, pack, parts, runs, salted, slices, texts, unpack, volume
 from .components import components
 
 BLOCK_BYTES = 12 << 20  # text whose shingles make one column block
-ROW_BLOCK = 1024  # rows of a row block
+ROW_BLOCK = 1024  # rows of a row block, fewer of long rows
+ROW = 512  # shingles that a row weighs besides its own
+SENT = 4 << 20  # bytes of rows that leave a worker at once
+MET = 1 << 21  # posting entries looked at together
 
 
 def shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -185,14 +190,16 @@ def _rows(percent: int):
             out_uid = uid.tolist()
             seen = set()  # a repeated row carries its columns once
             has = [w in kept and not (w in seen or seen.add(w)) for w in out_uid]
-            for a in range(0, len(out_uid), 2000):
-                some, ok = out_uid[a : a + 2000], has[a : a + 2000]
+            sent = np.cumsum([100 + (len(kept[w]) + prefix[w].nbytes if o else 0) for w, o in zip(out_uid, has)])
+            cut = np.unique(np.concatenate([[0], np.searchsorted(sent, np.arange(SENT, sent[-1], SENT)) + 1, [len(sent)]]))
+            for a, z in zip(cut[:-1].tolist(), cut[1:].tolist()):
+                some, ok = out_uid[a:z], has[a:z]
                 yield rows_of(
                     schema,
-                    pa.array(ids[a : a + 2000], mask=null[a : a + 2000].astype(bool)),
-                    uid[a : a + 2000].view(np.int64),
-                    n[a : a + 2000].astype(np.int64),
-                    [x.tobytes() for x in digest[a : a + 2000]],
+                    pa.array(ids[a:z], mask=null[a:z].astype(bool)),
+                    uid[a:z].view(np.int64),
+                    n[a:z].astype(np.int64),
+                    [x.tobytes() for x in digest[a:z]],
                     [kept[w] if o else None for w, o in zip(some, ok)],
                     [prefix[w] if o else None for w, o in zip(some, ok)],
                 )
@@ -216,6 +223,7 @@ def link_forest(uid: np.ndarray, sets: list[np.ndarray], n: np.ndarray, percent:
     column = np.empty(len(flat), np.int64)
     column[order] = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
     posting, at = row[order], cut
+    del flat, order
     parent = list(range(m))
 
     def top(i):
@@ -232,9 +240,11 @@ def link_forest(uid: np.ndarray, sets: list[np.ndarray], n: np.ndarray, percent:
         c = c[at[c + 1] - at[c] > 1]
         if not len(c):
             continue
-        size = at[c + 1] - at[c]
-        where = np.repeat(at[c] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-        overlap = np.bincount(posting[where], minlength=m)
+        overlap = np.zeros(m, np.int64)
+        for some in np.array_split(c, -(-int((at[c + 1] - at[c]).sum()) // MET)):
+            size = at[some + 1] - at[some]
+            where = np.repeat(at[some] - np.cumsum(size) + size, size) + np.arange(size.sum())
+            overlap += np.bincount(posting[where], minlength=m)
         ok = (100 + percent) * overlap >= percent * (n[i] + n)
         if left is None:
             ok[: i + 1] = False
@@ -290,21 +300,25 @@ def jaccard_components(docs: DataFrame, *, id: str = "doc_id", text: str = "text
     lead = rep.groupBy("s").agg(F.min("uid").alias("b"), F.count(F.lit(1)).alias("c")).where("c > 1").select("s", "b")
     groups = components(rep.join(lead, "s").select(F.col("uid").alias("a"), "b"))
 
-    member = groups.join(live.select("uid", "n").distinct(), groups.node == F.col("uid")).select("uid", "n", "label")
-    member = member.withColumn("i", F.floor((F.row_number().over(W.partitionBy("label").orderBy("n", "uid")) - 1) / row_block).cast("int"))
-    blocks_of = member.groupBy("label", "i").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    x, y = blocks_of.alias("x"), blocks_of.alias("y")
-    pairs = x.join(y, F.expr(f"x.label = y.label and x.i <= y.i and 100 * x.hi >= {percent} * y.lo"))
-    task = F.xxhash64("x.label", "x.i", "y.i")
-    sides = pairs.select(F.col("x.label").alias("label"), F.explode(F.when(F.expr("x.i = y.i"), F.array(F.struct(F.col("x.i").alias("i"), F.lit(0).alias("side"), task.alias("task")))).otherwise(F.array(F.struct(F.col("x.i").alias("i"), F.lit(0).alias("side"), task.alias("task")), F.struct(F.col("y.i").alias("i"), F.lit(1).alias("side"), task.alias("task"))))).alias("z")).select("label", "z.*")
-    work = member.join(sides, ["label", "i"]).select("uid", "task", "side").join(live.select("uid", "n", "kept"), "uid")
+    # row blocks of a group by classes of size, a class dealt out by hash; without an order over a whole group
+    member = groups.join(live.select("uid", "n").distinct(), groups.node == F.col("uid")).select("uid", "n", "label", F.floor(F.log("n") / math.log(100 / percent)).cast("int").alias("size") if percent < 100 else F.col("n").cast("int").alias("size"))
+    deal = member.groupBy("label", "size").agg(F.sum(F.col("n") + ROW).alias("weight")).select("label", "size", F.ceil(F.col("weight") / (row_block * 2 * ROW)).alias("parts"))
+    member = salted(member, deal, ["label", "size"], "uid").withColumn("i", F.pmod(F.xxhash64("uid", F.lit("row block")), "parts")).drop("parts")
+    blocks_of = member.groupBy("label", "size", "i").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.count(F.lit(1)).alias("c"))
+    x, y = blocks_of.withColumn("next", F.explode(F.array(*[F.col("size") + d for d in range(3)]))).alias("x"), blocks_of.alias("y")
+    later = "(x.size < y.size or x.i < y.i)"
+    pairs = x.join(y, F.expr(f"x.label = y.label and x.next = y.size and ({later} and 100 * x.hi >= {percent} * y.lo and 100 * y.hi >= {percent} * x.lo or x.size = y.size and x.i = y.i and x.c > 1)"))
+    task = F.xxhash64("x.label", "x.size", "x.i", "y.size", "y.i")
+    end = lambda b, side: F.struct(F.col(f"{b}.size").alias("size"), F.col(f"{b}.i").alias("i"), F.lit(side).alias("side"), task.alias("task"))
+    sides = pairs.select(F.col("x.label").alias("label"), F.explode(F.when(F.expr(later), F.array(end("x", 0), end("y", 1))).otherwise(F.array(end("x", 0)))).alias("z")).select("label", "z.*")
+    work = member.join(sides, ["label", "size", "i"]).select("uid", "task", "side").join(live.select("uid", "n", "kept"), "uid")
     forest = work.repartition(p, "task").sortWithinPartitions("task", "side", "uid").mapInArrow(_product(percent), "a long, b long")
 
+    # every row learns the smallest id of its component by its set's digest; rows of one digest are summed first
     label = components(forest).select(F.col("node").alias("rep"), "label")
-    named = live.select("digest").distinct().join(same, "digest").join(label, "rep", "left").select("digest", F.coalesce("label", "rep").alias("label"))
-    placed = rows.join(named, "digest", "left").select("id", "n", F.when(F.col("n") > 0, F.col("label")).alias("label"))
-    alone = placed.where("label is null").select("id", "n", F.col("id").alias("component_id"))
-    linked = placed.where("label is not null")
-    least = linked.groupBy("label").agg(F.min("id").alias("component_id"))
-    done = linked.join(least, "label").select("id", "n", "component_id")
-    return done.unionByName(alone).select(F.col("id").alias(id), F.col("n").alias("n_shingles"), "component_id")
+    named = same.join(label, "rep", "left").select("digest", F.coalesce("label", "rep").alias("label"))
+    named = named.join(rows.where("n > 0").groupBy("digest").agg(F.min("id").alias("id")), "digest")
+    least = named.groupBy("label").agg(F.min("id").alias("component_id"))
+    named = salted(named.select("digest", "label"), least, ["label"], "digest").select("digest", "component_id", F.lit(True).alias("linked"))
+    placed = salted(rows.select("id", "uid", "n", "digest"), named, ["digest"], "uid", how="left")
+    return placed.select(F.col("id").alias(id), F.col("n").alias("n_shingles"), F.when(F.col("linked") & (F.col("n") > 0), F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
