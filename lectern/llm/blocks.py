@@ -1,7 +1,8 @@
 """Vectors in shards and queries in blocks, brought together pair by pair of blobs.
 
-A shard holds a bounded number of vectors, a block a bounded number of queries; each pair is one row that
-carries both, so a task's memory is bounded and every query meets every vector.
+A shard holds a bounded number of vectors, a block a bounded number of queries. Blocks, the smaller ones, are sent to
+every shard; an index is sent once to each of the tasks that share its shard. A pair is one row that carries both, so
+a task's memory is bounded and every query meets every vector.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from .common import batch as rows_of, checkpoint, grouped, pack, parts
 
-SHARD, BLOCK = 16_384, 4_096
+SHARD, BLOCK = 16_384, 1_024
 
 
 def vectors(table: DataFrame, id: str, vector: str, *, nonzero: bool) -> DataFrame:
@@ -68,8 +69,12 @@ def search(table: DataFrame, every: int, per_pair, k: int, *, id: str, vector: s
                 yield rows_of(index_schema, np.array([part], np.int32), [build(ids, np.frombuffer(blob, np.float64, count * dim, 24 + 8 * count).reshape(count, dim))])
 
     made = checkpoint(_packed(d, shards, dim).mapInArrow(index, "part int, index binary"))
-    # each shard's index once for each block of queries, matched on the block
-    pairs = made.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(_packed(asked, blocks, dim).withColumnRenamed("part", "block"), "block")
+    # few shards: their blocks are dealt to several tasks, each with the index
+    tasks = parts(d)
+    lanes = max(1, min(blocks, -(-tasks // shards)))
+    index_of = made.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1)))).repartition(tasks, "part", "lane")
+    asking = _packed(asked, blocks, dim).select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("part"), F.pmod("part", F.lit(lanes)).alias("lane"), "blob").repartition(tasks, "part", "lane")
+    pairs = index_of.join(asking, ["part", "lane"])
     out_schema = pa.schema([("query_id", pa.int64()), ("id", pa.int64()), ("score", pa.int64() if score == "long" else pa.float64())])
 
     def run(batches):
@@ -80,7 +85,6 @@ def search(table: DataFrame, every: int, per_pair, k: int, *, id: str, vector: s
                 q, found, s = per_pair(ix, ids, np.frombuffer(blob, np.float64, count * dim, 24 + 8 * count).reshape(count, dim))
                 yield rows_of(out_schema, ids[q], found, s)
 
-    spread = pairs.select("index", "blob").repartition(max(1, min(shards * blocks, parts(d, 1) * 4)), F.xxhash64("index"), F.xxhash64("blob"))
-    found = spread.mapInArrow(run, f"query_id long, id long, score {score}").where("query_id <> id")
+    found = pairs.select("index", "blob").mapInArrow(run, f"query_id long, id long, score {score}").where("query_id <> id")
     best = W.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(id), "score")
