@@ -10,18 +10,25 @@ from lectern.llm.queries import tokenizer
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that score 0.7 or more; learnt from the labels of those that come in."""
+    """Without the documents that score 0.7 or more; learnt from the labels of those that come in.
+
+    Without labels of both kinds nothing is toxic, and all stay."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
     return toxicity.toxicity(docs, model).where("toxic_score < 0.7").select(docs.columns)
 
 
 def drop_unknown_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that no language model accepts."""
-    return langid.identify(docs, langid.train(docs)).where("not lang_rejected").select(docs.columns)
+    """Without the documents that no language model accepts, and those without letters.
+
+    Where no row names a language nothing can be learnt, and all stay."""
+    model = langid.train(docs)
+    return docs if model is None else langid.identify(docs, model).where("not lang_rejected").select(docs.columns)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a Jaccard similarity of 0.8 of word 5-shingles, the one with the smallest id."""
+    """Of documents linked by a Jaccard similarity of 0.8 of word 5-shingles, the one with the smallest id.
+
+    Rows of one id are one document and stay together; rows with a null id cannot be told apart, so they stay."""
     found = jaccard.jaccard_components(docs, k=5, percent=80)
     return docs.join(found.where("component_id < doc_id").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
 
@@ -51,6 +58,7 @@ ORACLE_SQL = None  # SQL expresses none of the learnt stages; tests hold the pip
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``: its five columns are read, others are left out; without rows there are none."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source", "n_chars")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
