@@ -21,6 +21,7 @@ SIGNS = re.compile(r"[\W\d_]+")
 SAMPLE = 800  # rows of a language from which its model is learnt, a fifth of them for calibration
 SAMPLE_BYTES = 16 << 20  # of text of a language from which its model is learnt
 CALIBRATED = 20  # learnable rows from which a fifth of a language's sample is held for calibration
+REJECTED = 0.0005  # share of texts in a learnt language that calibration lets be rejected
 UNDETERMINED = "und"
 
 
@@ -179,19 +180,20 @@ class Model:
         self.sharpness, self.limit, self.room = 8.0, np.full(len(languages), np.inf), 0.0
 
     def decide(self, entropy: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Best language, its confidence, and whether the text is rejected: no letters, or unlike every language."""
+        """Best language, its confidence, and whether the text is rejected: no letters, or accepted by no language."""
         best = entropy.argmin(1)
         low = entropy[np.arange(len(best)), best]
         z = -(entropy - low[:, None]) * (self.sharpness * size / (size + 20))[:, None]
         p = 1 / np.exp(z).sum(1)
-        return best, p, (size == 0) | (low > self.limit[best] + self.room / np.sqrt(np.maximum(size, 1)))
+        return best, p, (size == 0) | (entropy > self.limit + (self.room / np.sqrt(np.maximum(size, 1)))[:, None]).all(1)
 
     def calibrate(self, entropy: np.ndarray, size: np.ndarray, true: np.ndarray) -> None:
         """The sharpness that makes the confidences likeliest, and what is rejected.
 
         A language's limit lies half the way from its own texts to those of other languages; above it lies room that
-        falls with the square root of a text's length. The room is the least that accepts all n calibration rows, so
-        that of further rows like them no more than one in n + 1 is expected to be rejected."""
+        falls with the square root of a text's length. The room accepts all calibration rows, and is as large as the
+        exponential tail of their uppermost tenth asks for, so that of further rows like them a share of ``REJECTED``
+        is expected to be rejected."""
         ok = size > 0
         entropy, size, true = entropy[ok], size[ok], true[ok]
         if not len(true):
@@ -207,9 +209,12 @@ class Model:
             own, other = entropy[true == k, k], entropy[true != k, k]
             if len(own):
                 self.limit[k] = (float(np.median(own)) + float(np.median(other))) / 2 if len(other) else 2 * float(np.median(own))
-        best = entropy.argmin(1)
-        over = (entropy[np.arange(len(best)), best] - self.limit[best]) * np.sqrt(size)
-        self.room = float(np.max(over, initial=0.0, where=np.isfinite(over)))
+        over = (entropy - self.limit).min(1) * np.sqrt(size)
+        over = over[np.isfinite(over)]
+        if len(over):
+            high = float(np.quantile(over, 0.9))
+            tail = over[over >= high]
+            self.room = max(0.0, float(over.max()), high + float((tail - high).mean()) * float(np.log(0.1 / REJECTED)))
 
 
 def _word_counts(docs: DataFrame) -> DataFrame:

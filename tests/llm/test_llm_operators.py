@@ -166,6 +166,20 @@ def test_vp_tree(spark):
     assert len({(r["query_id"], r["vec_id"]) for r in loose} & {(w[0], w[2]) for w in want}) >= 0.9 * len(want)
 
 
+def test_vp_tree_ties_and_repeats():
+    r = np.random.default_rng(1)
+    x = r.normal(size=(1500, 16))
+    x[100:500] = x[100]
+    x[600:650] = x[7]
+    ids = r.permutation(1500) * 3
+    index = vptree.build(ids, x)
+    asked = np.arange(0, 1500, 10)
+    a, b, _ = vptree.query(index, ids[asked], x[asked], 20, 1.0)
+    products = np.einsum("ij,kj->ik", x[asked], x)
+    for i in range(len(asked)):
+        assert list(b[a == i]) == list(ids[np.lexsort((ids, -products[i]))[:21]])
+
+
 def test_vp_tree_recall_on_provided_vectors(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     rows = [(r[0], list(map(float, r[1]))) for r in df.select("vec_id", "embedding").collect()]

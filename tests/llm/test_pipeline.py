@@ -10,6 +10,7 @@ from test_llm_operators import jaccard_brute
 
 import corpus_pipeline
 from lectern.llm import langid, toxicity
+from lectern.llm.queries import tokenizer
 
 SF = "/root/testdata/sf0.01"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -76,9 +77,25 @@ def test_repeats_are_cut(stages):
 
 
 def test_packing_holds_every_token(stages):
+    from tokenizers import Tokenizer
+
     before, after = stages["packing"]
+    coder = Tokenizer.from_file(tokenizer("byte_bpe_50k.json"))
+    tokens = {int(i): len(coder.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in zip(before["doc_id"], before["text"]) if i == i and i != 7}
+    named = after[after["doc_id"].notna()]
+    got = named.groupby("doc_id")["length"].sum().to_dict()
+    assert {i: n for i, n in got.items() if i != 7} == tokens
     assert set(after["doc_id"].dropna()) == set(before["doc_id"].dropna())
     for _, g in after.groupby("sequence_id"):
         g = g.sort_values("offset")
         assert list(g["offset"]) == [0, *g["length"].cumsum()[:-1]] and g["length"].sum() <= 1024
     assert re.fullmatch(r"[a-z_]+", corpus_pipeline.STAGES[0][0])
+
+
+def test_nothing_to_learn_from_and_no_rows(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "The one and only text of this table.", None, "x", 37)], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    docs.write.parquet(f"{tmp_path}/a/documents.parquet"), labels.write.parquet(f"{tmp_path}/a/labels.parquet")
+    assert [r["doc_id"] for r in corpus_pipeline.run(spark, f"{tmp_path}/a").collect()] == [1]
+    docs.limit(0).write.parquet(f"{tmp_path}/b/documents.parquet"), labels.write.parquet(f"{tmp_path}/b/labels.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/b").collect() == []
