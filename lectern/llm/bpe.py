@@ -31,7 +31,14 @@ class WordBpe:
         from tokenizers import Tokenizer, models
 
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
+            spec = json.load(f)
+        model = spec["model"]
+        # units between white space, words apart from stops and in lower case: only for files that cut texts so
+        how, cut = (spec.get("normalizer") or {}).get("normalizers", []), (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+        white = [n for n in how if n["type"] == "Replace" and n["pattern"] == {"Regex": r"\s+"} and n["content"] == " "]
+        apart = cut[0].get("type") == "Split" and cut[0].get("invert") and cut[0].get("behavior") == "Removed" and cut[0]["pattern"].get("Regex", "").endswith(r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+        if not white or not apart or "Lowercase" not in [n["type"] for n in how] or spec.get("decoder"):
+            raise ValueError(f"{path}: its normaliser, pre-tokenizer or decoder is none that this encoder knows")
         self.whole, self.leaf = Tokenizer.from_file(path), leaf
         self.whole.no_truncation(), self.whole.no_padding()
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]

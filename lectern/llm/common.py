@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 import numpy as np
@@ -24,11 +25,14 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage in the folder that all executors share.
 
-    The session's ``spark.checkpoint.dir`` decides the folder; one is made only where it is unset
-    (tests on one machine)."""
+    The session's ``spark.checkpoint.dir`` decides the folder. Where it is unset, one is made on one machine, as in
+    tests; on a cluster that is an error, as no folder of one machine would outlive it."""
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="lectern-"))
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+        if not folder and not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="lectern-"))
     return df.checkpoint(eager=True)
 
 

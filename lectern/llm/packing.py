@@ -12,6 +12,7 @@ shifted by prefix sums, so a frequent length is never gathered in one task.
 from __future__ import annotations
 
 import functools
+import json
 import re
 import zlib
 
@@ -30,7 +31,9 @@ class ByteBpe:
 
     Text is cut where a space follows a character that is no white space: no token of this pre-tokenizer spans
     such a place and none of its look-ahead crosses it. The units repeat, so their ids are remembered. Texts
-    with other white space than single spaces and line breaks are encoded whole."""
+    with other white space than single spaces and line breaks are encoded whole. All this holds for files whose
+    merges are in the order of their ids and whose only pre-tokenizer is byte-level with the usual pattern; for any
+    other the library encodes the texts itself."""
 
     odd = re.compile(r"[^\S \n]|\s\s|[\x1c-\x1f]|<\|endoftext\|>")
 
@@ -39,7 +42,15 @@ class ByteBpe:
         from tokenizers import Tokenizer
 
         whole = Tokenizer.from_file(path)
-        vocab = whole.get_vocab()
+        whole.no_truncation(), whole.no_padding()
+        vocab, spec = whole.get_vocab(), json.loads(whole.to_str())
+        model, cut = spec["model"], spec["pre_tokenizer"] or {}
+        merged = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+        usual = (cut.get("type"), cut.get("add_prefix_space"), cut.get("use_regex")) == ("ByteLevel", False, True) and not spec["normalizer"]
+        plain = not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+        self.library = None if usual and plain and merged == sorted(set(merged)) else whole
+        if self.library:
+            return
         special = {t.content: i for i, t in whole.get_added_tokens_decoder().items()}
         # the vocabulary's byte alphabet: printable bytes stand for themselves, the others follow from 256 on
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -54,6 +65,8 @@ class ByteBpe:
         return np.array(self.coder.encode_ordinary(" " + u), np.uint32).tobytes()
 
     def ids(self, text: str) -> bytes:
+        if self.library:
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
         if self.odd.search(text):
             return np.array(self.coder.encode(text, allowed_special="all"), np.uint32).tobytes()
         first, *units = text.split(" ")
@@ -147,12 +160,17 @@ def plan(count: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int
 def place(items: DataFrame, *, length: str = "length", order: tuple[str, ...] = ("id", "piece"), capacity: int = CAPACITY) -> DataFrame:
     """``items`` with (sequence_id, offset): bins of at most ``capacity`` without gaps, whole items only.
 
-    Lengths must be from 1 to ``capacity``. Items are checkpointed first, so that ranks don't change when a lost
-    executor's tasks run again. Empty input: no rows."""
+    Lengths must be from 1 to ``capacity``; a null or other length is an error. Nulls in other columns and repeated
+    rows are items like others. Names of columns must not be those that are added, nor ``_part``, ``_len``, ``_n``,
+    ``_row``, ``_shift`` or ``_rank``: an error too. Items are checkpointed first, so that ranks don't change when a
+    lost executor's tasks run again. Empty input: no rows."""
+    taken = {"sequence_id", "offset", "_part", "_len", "_n", "_row", "_shift", "_rank"} & {c.lower() for c in items.columns}
+    if taken:
+        raise ValueError(f"columns {sorted(taken)} are in the way")
     kept = checkpoint(items).withColumn("_part", F.spark_partition_id())
     counts = checkpoint(kept.groupBy("_part", F.col(length).alias("_len")).agg(F.count(F.lit(1)).alias("_n")))
     histogram = {r[0]: r[1] for r in counts.groupBy("_len").agg(F.sum("_n")).collect()}  # at most ``capacity`` rows
-    if any(not 0 < k <= capacity for k in histogram):
+    if any(k is None or not 0 < k <= capacity for k in histogram):
         raise ValueError("lengths must be from 1 to the capacity")
     before = W.partitionBy("_len").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     shift = counts.select("_part", "_len", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))

@@ -47,3 +47,24 @@ def test_tree_concatenation_of_long_runs():
     mine, theirs = WordBpe(path), Tokenizer.from_file(path)
     for s in ["a" * 5000, "ab" * 3001, "".join(r.choice("abcdeèß") for _ in range(20_000)), "".join(r.choice("aaaab") for _ in range(9_000)), "$%" * 2000 + "x" * 999 + "'s" * 700]:
         assert mine.encode(s) == theirs.encode(s, add_special_tokens=False).ids
+
+
+def test_documents_nulls_repeats_and_none(spark):
+    import hashlib
+
+    from lectern.llm import bpe
+    from lectern.llm.queries import tokenizer
+    from tokenizers import Tokenizer
+
+    path = tokenizer("word_bpe_49k.json")
+    whole = Tokenizer.from_file(path)
+    rows = [(1, "Some WORDS, and a stop."), (1, "Some WORDS, and a stop."), (2, None), (3, ""), (None, "No id; <|endoftext|> \u2003 it's"), (4, "x" * 5000 + " \n\t end")]
+    df = spark.createDataFrame([(i, t, "clash", 7) for i, t in rows], "doc_id long, text string, ids_sha256 string, n_tokens int")
+    got = bpe.encode_documents(df, path).collect()
+    want = []
+    for i, t in rows:
+        e = whole.encode(t or "", add_special_tokens=False)
+        digest = lambda x: hashlib.sha256(x.encode()).hexdigest()
+        want.append((i, len(e.ids), digest(" ".join(map(str, e.ids))), digest(whole.decode(e.ids, skip_special_tokens=False))))
+    assert sorted(map(str, (tuple(r) for r in got))) == sorted(map(str, want))
+    assert bpe.encode_documents(df.limit(0), path).collect() == []
