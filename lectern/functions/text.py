@@ -93,11 +93,11 @@ FOLD = {"״": '"', "“": '"', "”": '"', "„": '"', "׳": "'", "‘": "'", "
 def folded(text: pd.Series) -> pd.Series:
     """NFKC, one form of quotes, dashes and stops, and no outer punctuation of words."""
     table = str.maketrans(FOLD)
+    strip = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 
     def one(t):
         if t is None:
             return None
-        strip = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
         return " ".join(w for w in (x.strip(strip) for x in unicodedata.normalize("NFKC", t).translate(table).split()) if w)
 
     return text.map(one, na_action="ignore")
@@ -154,7 +154,7 @@ def replaced(text: Column, wrong: dict[str, str]) -> Column:
     """Whole words by a dictionary, all other text as it is."""
     out = text
     for w, r in wrong.items():
-        out = F.regexp_replace(out, rf"(?<!\p{{L}}){w}(?!\p{{L}})", r)
+        out = F.regexp_replace(out, rf"(?<!\p{{L}})\Q{w}\E(?!\p{{L}})", r.replace("\\", r"\\").replace("$", r"\$"))
     return out
 
 

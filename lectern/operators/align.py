@@ -85,6 +85,27 @@ def consensus(first: DataFrame, second: DataFrame, *key: str) -> DataFrame:
     return first.select(*key, "i", "reading").join(second.select(*key, "i", F.col("reading").alias("_r")), [*key, "i"]).where("reading = _r").drop("_r")
 
 
+def readings(ops: DataFrame, a: DataFrame, *key: str) -> DataFrame:
+    """(key..., i, reading) of single words replaced one by one: where a witness reads something else. ops: opcodes of the
+    text against the witness, a: (key..., words) of the witness."""
+    one = ops.where("tag = 'replace' and i2 - i1 = j2 - j1").join(a, list(key))
+    return one.select(*key, "i1", "j1", "words", F.explode(F.sequence(F.lit(0), F.col("i2") - F.col("i1") - 1)).alias("_d")).select(*key, (F.col("i1") + F.col("_d")).alias("i"), F.get("words", F.col("j1") + F.col("_d")).alias("reading"))
+
+
+def fresh(disputes: DataFrame, candidates: DataFrame, decisions: DataFrame, *key: str, types: tuple[str, ...] = ()) -> DataFrame:
+    """Disputes (key..., i) that are neither a candidate yet nor decided on, by a decision of ``types`` (any, if none)."""
+    d = decisions.where(F.col("decision_type").isin(*types)) if types else decisions
+    known = candidates.select(*key, "i").unionByName(d.select(*key, "i")).distinct()
+    return disputes.join(known, [*key, "i"], "left_anti")
+
+
+def witness_verdict(candidates: DataFrame, read: DataFrame, *key: str) -> DataFrame:
+    """What a witness (key..., i, reading) says of candidates (key..., i, ocr_reading, stored_text): which of the two it
+    confirms, a third reading, or that it has none at that place."""
+    j = candidates.join(read.select(*key, "i", F.col("reading").alias("_r")), [*key, "i"], "left")
+    return j.withColumn("verdict", F.when(F.col("_r").isNull(), "unaligned").when(F.col("_r").eqNullSafe(F.col("ocr_reading")), "corrected").when(F.col("_r").eqNullSafe(F.col("stored_text")), "original").otherwise("third")).drop("_r")
+
+
 def accuracy(ops: DataFrame, sizes: DataFrame, *key: str) -> DataFrame:
     """Matches over truth words of all pairs together: (matched, truth_words, rate).
 
@@ -97,8 +118,3 @@ def accuracy(ops: DataFrame, sizes: DataFrame, *key: str) -> DataFrame:
 def gaps(ops: DataFrame, *key: str, least: int = 8) -> DataFrame:
     """Deleted or replaced runs of ``least`` words or more."""
     return ops.where(F.col("tag").isin("delete", "replace") & (F.col("i2") - F.col("i1") >= least))
-
-
-def neighbours(order: DataFrame, unit: str = "unit_id") -> DataFrame:
-    w = W.partitionBy("page").orderBy("token_index")
-    return order.withColumn("before", F.lag(unit).over(w)).withColumn("after", F.lead(unit).over(w))

@@ -30,11 +30,20 @@ def spread(w: DataFrame, form: Column, unit: str, least: int, letters: int = 1)
 
 def unknown(w: DataFrame, form: Column, lexicon: DataFrame, unit: str) -> DataFrame:
     """Forms outside the lexicon: occurrences, units, different surfaces and the first place."""
-    f = w.withColumn("form", form).where("form <> ''").join(lexicon.select("form").distinct(), "form", "left_anti")
-    return f.groupBy("form").agg(F.count(F.lit(1)).alias("occurrences"), F.count_distinct(unit).alias("n_units"), F.count_distinct("word").alias("n_surfaces"), F.min(F.struct(unit, "word_index")).alias("_at")).select("form", "occurrences", "n_units", "n_surfaces", F.col(f"_at.{unit}").alias("first_unit"), F.col("_at.word_index").alias("first_index"))
+    f = w.withColumn("form", form).where("form <> ''").groupBy("form", unit, "word").agg(F.count(F.lit(1)).alias("_k"), F.min("word_index").alias("_i"))
+    f = f.join(lexicon.select("form").distinct(), "form", "left_anti")
+    surfaces = f.groupBy("form", "word").agg(F.lit(1).alias("_s")).groupBy("form").agg(F.count(F.lit(1)).alias("n_surfaces"))
+    per = f.groupBy("form", unit).agg(F.sum("_k").alias("_k"), F.min("_i").alias("_i"))
+    per = per.groupBy("form").agg(F.sum("_k").alias("occurrences"), F.count(unit).alias("n_units"), F.min(F.struct(unit, "_i")).alias("_at"))
+    return per.join(surfaces, "form").select("form", "occurrences", "n_units", "n_surfaces", F.col(f"_at.{unit}").alias("first_unit"), F.col("_at._i").alias("first_index"))
 
 
 def attestation(lexicon: DataFrame, reference: DataFrame) -> DataFrame:
     """How much of a lexicon a reference attests."""
     j = lexicon.join(reference.select("form", F.col("n").alias("m")), "form", "left")
     return j.agg(F.count(F.lit(1)).alias("lexicon_forms"), F.count_if(F.col("m") > 0).alias("attested"), F.count_if(F.coalesce(F.col("m"), F.lit(0)) == 0).alias("unattested"))
+
+
+def forms_by_unit(w: DataFrame, form: Column, unit: str) -> DataFrame:
+    """(form, unit, n, first_index): a relation, so that a common form is no row that grows with the corpus."""
+    return w.select(unit, "word_index", form.alias("form")).where("form <> ''").groupBy("form", unit).agg(F.count(F.lit(1)).alias("n"), F.min("word_index").alias("first_index"))

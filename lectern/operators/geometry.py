@@ -68,11 +68,14 @@ def contained(tokens: DataFrame, regions: DataFrame, slack: float = 0.006) -> Da
     return tokens.join(regions, "page").where((F.col("x1") >= F.col("rx1") - slack) & (F.col("y1") >= F.col("ry1") - slack) & (F.col("x2") <= F.col("rx2") + slack) & (F.col("y2") <= F.col("ry2") + slack))
 
 
-def trim_overlaps(regions: DataFrame) -> DataFrame:
-    """A region that reaches into the next on its page ends where that begins; only the earlier one changes."""
-    w = W.partitionBy("page").orderBy("unit_id")
-    nxt = F.lead("ry1").over(w)
-    return regions.withColumn("ry2", F.when((nxt > F.col("ry1")) & (nxt < F.col("ry2")), nxt).otherwise(F.col("ry2")))
+def trim_overlaps(regions: DataFrame, gap: float = 0.0) -> DataFrame:
+    """A region that reaches into that of the next id on its page ends ``gap`` before it, but not above its own top.
+
+    Only ids that follow each other by one are compared, and only the earlier one changes. A join on the id, not an
+    order, so no page and no part is one task's work."""
+    after = regions.select((F.col("unit_id") - 1).alias("unit_id"), "page", F.col("ry1").alias("_top")).groupBy("unit_id", "page").agg(F.min("_top").alias("_top"))
+    end = F.when(F.col("ry2") > F.col("_top"), F.greatest(F.col("ry1") + gap, F.col("_top") - gap)).otherwise(F.col("ry2"))
+    return regions.join(after, ["unit_id", "page"], "left").withColumn("ry2", end).select(regions.columns)
 
 
 def nearest_rank(spots: DataFrame, tokens: DataFrame) -> DataFrame:
@@ -120,3 +123,46 @@ def catchwords(tokens: DataFrame, real, first: int = 4) -> DataFrame:
     rank = F.row_number().over(W.partitionBy("page").orderBy("token_index"))
     heads = t.withColumn("_r", rank).where(F.col("_r") <= first).groupBy((F.col("page") - 1).alias("page")).agg(F.collect_set("text").alias("_heads"))
     return ends.join(heads, "page").select("page", "catchword", F.array_contains("_heads", F.col("catchword")).alias("found"))
+
+
+def trusted(alignment: DataFrame, first: int, last: int) -> tuple[DataFrame, DataFrame]:
+    """Alignment rows whose page is trusted and from ``first`` to ``last``, and all others: none is lost."""
+    good = F.coalesce(F.col("trusted") & F.col("matched_page").between(first, last), F.lit(False))
+    return alignment.where(good), alignment.where(~good)
+
+
+def page_offsets(counts: DataFrame, width: int = 1 << 12) -> DataFrame:
+    """(page, n, offset): how many tokens the pages before hold. Sums of ``width`` pages are added up apart from the
+    pages in them, so no task orders all pages."""
+    c = counts.withColumn("_b", F.floor(F.col("page") / width))
+    inside = F.coalesce(F.sum("n").over(W.partitionBy("_b").orderBy("page").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    before = F.coalesce(F.sum("_n").over(W.orderBy("_b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    sums = c.groupBy("_b").agg(F.sum("n").alias("_n")).select("_b", before.alias("_before"))
+    return c.withColumn("_in", inside).join(sums, "_b").select("page", "n", (F.col("_in") + F.col("_before")).alias("offset"))
+
+
+def x_band(tokens: DataFrame) -> DataFrame:
+    """Leftmost and rightmost edge and number of each page's tokens."""
+    return tokens.groupBy("page").agg(F.min("x1").alias("left"), F.max("x2").alias("right"), F.count(F.lit(1)).alias("n"))
+
+
+def coverage_means(covered: DataFrame) -> DataFrame:
+    """Mean coverage and number of spans on one page and across pages: covered has (coverage, same_page)."""
+    return covered.where("coverage is not null").groupBy("same_page").agg(F.avg("coverage").alias("mean"), F.count(F.lit(1)).alias("n"))
+
+
+def unmeasured_reasons(spans: DataFrame) -> DataFrame:
+    """Why spans (first_id, last_id, tokens, unmeasured) have no coverage, a row a reason."""
+    why = F.when(F.col("tokens").isNull(), "no_end").when(F.col("tokens") <= 0, "no_tokens").when(F.col("last_id") < F.col("first_id"), "out_of_order").when(F.col("unmeasured") > 0, "unit_missing")
+    return spans.select(why.alias("reason")).where("reason is not null").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def attributed(ops: DataFrame, origin: DataFrame, tokens: DataFrame, *key: str) -> DataFrame:
+    """Regions of units from an alignment of a page's tokens with its units' words: (key..., unit_id, box, n).
+
+    origin: (key..., j, unit_id) of the words; tokens: (key..., i, x1, y1, x2, y2). A replaced word takes the token at
+    its place in the replaced run, words beyond the run its last token."""
+    use = ops.where(F.col("tag").isin("equal", "replace") & (F.col("i2") > F.col("i1")))
+    at = use.select(*key, "i1", "i2", "j1", F.explode(F.sequence(F.col("j1"), F.col("j2") - 1)).alias("j")).where("j >= j1")
+    at = at.withColumn("i", F.col("i1") + F.least(F.col("j") - F.col("j1"), F.col("i2") - F.col("i1") - 1))
+    return union_box(at.join(origin, [*key, "j"]).join(tokens, [*key, "i"]), *key, "unit_id")

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 # A choice made for a disputed word counts as one for a candidate.
 ALIASES = {"disputed_choice": "candidate_choice"}
+# The decision type of a note on a unit or a word.
+UNIT_FLAG = "klal_flag"
 SURE = 0.7  # confidence from which a machine's verdict is taken
 
 
@@ -94,11 +96,55 @@ def changes(before: DataFrame, after: DataFrame) -> DataFrame:
     return after.exceptAll(before).withColumn("change", F.lit("new")).unionByName(before.exceptAll(after).withColumn("change", F.lit("stale")))
 
 
-def duplicates(df: DataFrame, *key: str) -> DataFrame:
-    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+def live(decisions: DataFrame, candidates: DataFrame, same: tuple[str, ...] = ("opcode", "word_index", "ocr_reading", "stored_text")) -> DataFrame:
+    """Decisions (unit_id, ..., and the candidate as it was seen) whose candidate is still there, unchanged in all of
+    ``same``; null equals null. A candidate listed twice counts once."""
+    c = candidates.select("unit_id", *same).distinct()
+    on = [decisions["unit_id"] == c["unit_id"], *[decisions[k].eqNullSafe(c[k]) for k in same]]
+    return decisions.join(c, on, "left_semi")
 
 
-def latest_window(ledger: DataFrame, *key: str, order: str = "seq") -> DataFrame:
-    """Like ``current`` with the rank spelt out, for ties on ``order`` by id."""
-    w = W.partitionBy(*key).orderBy(F.desc(order), F.desc("id"))
-    return ledger.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+def flagged(ledger: DataFrame) -> DataFrame:
+    """Units whose latest general flag asks for another look: flags of words say nothing of the unit."""
+    general = ledger.where((F.col("decision_type") == UNIT_FLAG) & F.col("word_index").isNull())
+    return current(general, "unit_id").where("needs_revisit").select("unit_id", "seq", "note")
+
+
+def flag_of(candidates: DataFrame, units: DataFrame, split) -> DataFrame:
+    """Candidates (unit_id, opcode, word_index, stored_text, selected, confidence) with their flag; one whose text is no
+    longer what it was made from is ``stale_candidate``."""
+    j = candidates.join(units.select("unit_id", split(F.col("text")).alias("_ws")), "unit_id", "left")
+    stale = drifted(F.col("_ws"), F.col("opcode"), F.col("word_index"), F.col("stored_text"), split)
+    return j.withColumn("flag", F.when(stale, "stale_candidate").otherwise(classify(F.col("opcode"), F.col("selected"), F.col("confidence")))).drop("_ws")
+
+
+# The sides of a question that may be absent, and how an absent or empty one is kept.
+ABSENT = "\x00NONE\x00"
+KEY = ("crop_hash", "word_a", "word_b", "context_hash", "prompt_hash")
+
+
+def cache_key(df: DataFrame) -> DataFrame:
+    """With ``key``, the digest of everything that a cached answer is an answer to."""
+    side = lambda c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit(ABSENT)) if c in ("word_a", "word_b") else F.col(c)
+    return df.withColumn("key", F.sha2(F.concat_ws("\x1f", *[side(c) for c in KEY]), 256))
+
+
+def cache_get(items: DataFrame, cache: DataFrame) -> DataFrame:
+    """Items with the cached ``answer``, null where there is none."""
+    return cache_key(items).join(cache.select("key", "answer"), "key", "left")
+
+
+def cache_put(cache: DataFrame, answers: DataFrame) -> DataFrame:
+    """The cache (key, answer) with new answers in place of old ones; of several to one question the last by ``seq``."""
+    new = cache_key(answers).groupBy("key").agg(F.max_by("answer", "seq").alias("answer"))
+    return overlay(cache.select("key", "answer"), new, "key")
+
+
+def cache_migrated(rows: DataFrame, prompt_hash: str) -> DataFrame:
+    """Rows kept before prompts were part of the question, under the prompt that they answered."""
+    return cache_key(rows.withColumn("prompt_hash", F.lit(prompt_hash))).select("key", "answer")
+
+
+def remaining_work(items: DataFrame, done: DataFrame, id: str) -> DataFrame:
+    """Items that a run has not yet finished, for one that goes on where another stopped."""
+    return items.join(done.select(id).distinct(), id, "left_anti")

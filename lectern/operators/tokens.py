@@ -33,25 +33,42 @@ def grams(units: DataFrame, n: int, unit: str = "doc_id", text: str = "text") ->
     return u.select(unit, F.posexplode(runs).alias("position", "gram"))
 
 
+def _hashed(ws: Column, n: int) -> Column:
+    """The 64-bit hash of each run of n words, in order."""
+    return F.when(F.size(ws) >= n, F.transform(F.sequence(F.lit(1), F.size(ws) - (n - 1)), lambda i: F.xxhash64(F.slice(ws, i, n)))).otherwise(F.array().cast("array<long>"))
+
+
 def repeated_grams(units: DataFrame, n: int, unit: str = "doc_id", text: str = "text") -> DataFrame:
     """Runs of n words that come again without overlap: each compared with its first place in the unit.
 
-    Two aggregations by (unit, gram) instead of a window over every unit."""
-    g = grams(units, n, unit, text)
-    first = g.groupBy(unit, "gram").agg(F.min("position").alias("first_position"), F.max("position").alias("_last")).where(f"_last - first_position >= {n}").drop("_last")
-    return g.join(first, [unit, "gram"]).where(F.col("position") - F.col("first_position") >= n).select(unit, "gram", "first_position", "position")
+    A unit is one row, so repeats are found in it, among sorted hashes; only the runs whose hash repeats become
+    strings, which decide, and are shuffled."""
+    places = F.sort_array(F.transform(_hashed(F.col("ws"), n), lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    twice = F.filter("_p", lambda x, k: (x["h"] == F.get("_p", k - 1)["h"]) | (x["h"] == F.get("_p", k + 1)["h"]))
+    u = units.select(unit, words(F.col(text)).alias("ws")).withColumn("_p", places).withColumn("_p", twice)
+    hits = u.select(unit, F.inline(F.transform("_p", lambda x: F.struct(x["i"].alias("position"), F.array_join(F.slice("ws", x["i"] + 1, n), " ").alias("gram")))))
+    first = F.min("position").over(W.partitionBy(unit, "gram"))
+    return hits.withColumn("first_position", first).where(F.col("position") - F.col("first_position") >= n).select(unit, "gram", "first_position", "position")
 
 
 def shared_with_next(units: DataFrame, n: int, unit: str = "doc_id", text: str = "text") -> DataFrame:
     """Grams that a unit shares with the unit next in order, ids need not follow each other by one.
 
-    The order is found on ids alone, by rank within ranges of ids, so no task orders them all."""
-    ids = units.select(unit).distinct()
-    chain = next_of(ids, unit)
-    g = grams(units, n, unit, text).select(unit, "gram").distinct()
-    here = chain.where("next_id is not null").join(g, unit)
-    there = g.select(F.col(unit).alias("next_id"), "gram")
-    return here.join(there, ["next_id", "gram"]).select(unit, "next_id", "gram")
+    The order is found on ids alone, by rank within ranges of ids, so no task orders them all. Units meet as arrays of
+    hashes; only of the few that share one are the strings compared. Rows of one id are one unit."""
+    chain = next_of(units.select(unit).distinct(), unit).where("next_id is not null")
+    every = units.select(unit, words(F.col(text)).alias("ws"))
+    h = every.select(unit, F.array_distinct(_hashed(F.col("ws"), n)).alias("_h"))
+    met = chain.join(h, unit).join(h.select(F.col(unit).alias("next_id"), F.col("_h").alias("_g")), "next_id")
+    # a generator, so that the condition is not computed twice
+    met = met.select(unit, "next_id", F.explode(F.array(F.array_intersect("_h", "_g"))).alias("_both")).where(F.size("_both") > 0)
+
+    def strings(of: str) -> DataFrame:
+        side = met.join(every.withColumnRenamed(unit, of), of)
+        at = F.filter(F.transform(_hashed(F.col("ws"), n), lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: F.array_contains("_both", s["x"]))
+        return side.select(unit, "next_id", F.explode(F.transform(at, lambda s: F.array_join(F.slice("ws", s["i"] + 1, n), " "))).alias("gram")).distinct()
+
+    return strings(unit).join(strings("next_id"), [unit, "next_id", "gram"])
 
 
 def next_of(ids: DataFrame, unit: str, width: int = 1 << 16) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import numeral, opening, trailing_marker, words
+from .align import gaps, ratio, word_ratio
 
 
 def numerals(units: DataFrame) -> DataFrame:
@@ -21,10 +22,11 @@ def foreign(units: DataFrame, allowed: str, unit: str = "doc_id", text: str = "t
     return units.where(F.col(text).rlike(f"[^{allowed}]")).select(unit, F.inline(odd))
 
 
-def characters(units: DataFrame, latin: str = "[A-Za-z]", unit: str = "doc_id", text: str = "text") -> DataFrame:
-    """Latin letters, digits and unbalanced brackets of each unit that has any; a footnote mark before ``)`` is no bracket."""
+def characters(units: DataFrame, latin: str = "[A-Za-z]", unit: str = "doc_id", text: str = "text", letter: str = r"\p{L}") -> DataFrame:
+    """Latin letters, digits and unbalanced brackets of each unit that has any; ``)`` behind asterisks, or behind a quote
+    that follows no letter (``letter``), closes a footnote's mark and no bracket."""
     n = lambda p: F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(p))
-    round_ = n(r"\(") - (n(r"\)") - n(r"\*+\s*\)"))
+    round_ = n(r"\(") - (n(r"\)") - n(rf'(?:\*+|(?<!{letter})")\s*\)'))
     return units.select(unit, n(latin).alias("latin"), n("[0-9]").alias("digits"), round_.alias("parens"), (n(r"\[") - n(r"\]")).alias("brackets")).where("latin > 0 or digits > 0 or parens <> 0 or brackets <> 0")
 
 
@@ -66,8 +68,23 @@ def furniture(word: Column, header: tuple[str, ...], pattern: str = "(?i)^(digit
     return (bare.isin(*header) & ~word.rlike("[\"'׳״]")) | word.rlike(pattern) | word.rlike(r"^[0-9]+$") | (bare == "")
 
 
-def best_owner(mismatched: DataFrame, openings: DataFrame, shared: int = 1) -> DataFrame:
-    """Of each mismatched text (unit_id, ws), the other unit whose opening words overlap most, by Jaccard of word sets.
+def furniture_cleaned(word: Column, header: tuple[str, ...]) -> Column:
+    """The rule for corrections: a word's letters and digits, in lower case, are one of the header's."""
+    return F.regexp_replace(F.lower(word), r"[^\p{L}\p{N}]", "").isin(*header)
+
+
+def furniture_exact(word: Column, header: tuple[str, ...]) -> Column:
+    """The rule for orphans: the word as it stands is one of the header's, or all digits."""
+    return word.isin(*header) | word.rlike(r"^[0-9]+$")
+
+
+def furniture_segment(ws: Column, header: tuple[str, ...]) -> Column:
+    """The rule for witnesses: every word of a run is one of the header's or digits; an empty run is none."""
+    return (F.size(ws) > 0) & F.forall(ws, lambda w: w.isin(*header) | w.rlike(r"^[0-9]+$"))
+
+
+def most_shared_words(mismatched: DataFrame, openings: DataFrame, shared: int = 1) -> DataFrame:
+    """Of each text (unit_id, ws), the other unit whose opening words overlap most, by Jaccard of word sets.
 
     Candidates share a word, by an equi-join, instead of all pairs."""
     a = mismatched.select("unit_id", F.explode(F.array_distinct("ws")).alias("w"), F.size(F.array_distinct("ws")).alias("na"))
@@ -77,24 +94,74 @@ def best_owner(mismatched: DataFrame, openings: DataFrame, shared: int = 1) -> D
     return s.withColumn("score", score).groupBy("unit_id").agg(F.max_by(F.struct("owner", "score"), F.struct("score", -F.col("owner"))).alias("b")).select("unit_id", "b.owner", "b.score")
 
 
-def contained_elsewhere(chunks: DataFrame, units: DataFrame, n: int = 5) -> DataFrame:
+def best_owner(mismatched: DataFrame, openings: DataFrame, words: int = 50) -> DataFrame:
+    """Of each mismatched text (unit_id, ws), the other unit whose opening (unit_id, ws) it resembles most: the ratio of
+    the matcher over the first ``words`` words, the smaller id of equals; none if nothing is alike.
+
+    The words that two texts share bound their ratio. The matcher first looks at each text's candidate of the highest
+    bound, then only at those whose bound reaches that one's ratio, so few pairs of those that share a word are aligned."""
+    clip = lambda d: d.select("unit_id", F.slice("ws", 1, words).alias("ws")).where(F.size("ws") > 0)
+    a, b = clip(mismatched), clip(openings).withColumnsRenamed({"unit_id": "owner", "ws": "_o"})
+    count = lambda d, id, ws, n: d.select(id, F.explode(ws).alias("w"), F.size(ws).alias(n)).groupBy(id, "w", n).agg(F.count(F.lit(1)).alias("k" + n))
+    met = count(a, "unit_id", "ws", "na").join(count(b, "owner", "_o", "nb"), "w").where("unit_id <> owner")
+    near = met.groupBy("unit_id", "owner").agg((2 * F.sum(F.least("kna", "knb")) / (F.first("na") + F.first("nb"))).alias("bound"))
+    scored = lambda pairs: pairs.join(a, "unit_id").join(b, "owner").withColumn("score", word_ratio("ws", "_o")).select("unit_id", "owner", "score")
+    first = scored(near.groupBy("unit_id").agg(F.max_by("owner", F.struct("bound", -F.col("owner"))).alias("owner")))
+    rest = near.join(first.select("unit_id", F.col("score").alias("_s")), "unit_id").where("bound >= _s - 1e-9").select("unit_id", "owner")
+    return scored(rest).where("score > 0").groupBy("unit_id").agg(F.max_by(F.struct("owner", "score"), F.struct("score", -F.col("owner"))).alias("b")).select("unit_id", "b.owner", "b.score")
+
+
+def contained_elsewhere(chunks: DataFrame, units: DataFrame, n: int = 5, block: int = 1000) -> DataFrame:
     """(chunk_id, unit_id): units whose text holds a chunk's text; chunks (chunk_id, text), units (unit_id, text).
 
-    Only units that share a run of ``n`` words with the chunk's middle are compared, and chunks of fewer words by any
-    of their words; a chunk's outer words may be parts of words in the unit, so they are no key."""
+    Only units that share a run of ``n`` words with the chunk's middle are compared; a chunk's outer words may be parts
+    of words in the unit, so they are no key. Chunks too short for that are sent to every unit in blocks of ``block``:
+    they are a stated set of queries, each unit is looked through once a block. An empty or null chunk is in none."""
     ws = words(F.col("text"))
     k = F.size("ws")
     inner = F.when(k > 2, F.slice("ws", 2, F.greatest(k - 2, F.lit(0)))).otherwise(F.array().cast("array<string>"))
-    c = chunks.select("chunk_id", "text", ws.alias("ws")).withColumn("inner", inner)
+    c = chunks.where("text <> ''").select("chunk_id", "text", ws.alias("ws")).withColumn("inner", inner)
     long = c.where(F.size("inner") >= n).select("chunk_id", "text", F.array_join(F.slice("inner", 1, n), " ").alias("key"))
     grams = F.transform(F.sequence(F.lit(1), F.size("ws") - (n - 1)), lambda i: F.array_join(F.slice("ws", i, n), " "))
     keys = units.select("unit_id", ws.alias("ws")).where(F.size("ws") >= n).select("unit_id", F.explode(F.array_distinct(grams)).alias("key"))
     near = long.join(keys, "key").select("chunk_id", "unit_id", F.col("text").alias("chunk"))
     found = near.join(units.select("unit_id", "text"), "unit_id").where(F.contains("text", "chunk")).select("chunk_id", "unit_id")
-    short = c.where((F.size("inner") < n) & (F.size("inner") > 0)).select("chunk_id", F.col("text").alias("chunk"), F.get("inner", F.lit(0)).alias("key"))
-    single = units.select("unit_id", F.explode(F.array_distinct(ws)).alias("key"))
-    few = short.join(single, "key").select("chunk_id", "unit_id", "chunk").join(units.select("unit_id", "text"), "unit_id").where(F.contains("text", "chunk")).select("chunk_id", "unit_id")
-    return found.unionByName(few).distinct()
+    few = c.where(F.size("inner") < n).groupBy(F.pmod(F.xxhash64("chunk_id"), F.lit(64)).alias("_b")).agg(F.collect_list(F.struct("chunk_id", "text")).alias("_c"))
+    # a bucket's chunks in pieces, so that no row grows with their number
+    few = few.select(F.explode(F.transform(F.sequence(F.lit(0), F.floor((F.size("_c") - 1) / block).cast("int")), lambda i: F.slice("_c", i * block + 1, block))).alias("_c"))
+    hits = F.filter("_c", lambda x: F.contains(F.col("text"), x["text"]))
+    short = units.select("unit_id", "text").join(few, F.expr("unit_id is not null")).select(F.explode(F.transform(hits, lambda x: x["chunk_id"])).alias("chunk_id"), "unit_id")
+    return found.unionByName(short).distinct()
+
+
+def orphans(mismatched: DataFrame, openings: DataFrame, chunks: DataFrame, units: DataFrame, ops: DataFrame, *, least: float = 0.5, gap: int = 8) -> DataFrame:
+    """The three passes over words that no unit owns, as one report (check, unit_id, other): texts that open like another
+    unit, chunks that stand in a unit, and long runs of the page that the units between two adjacent ids lack.
+
+    ops: opcodes with (unit_id, next_id); pairs whose ids do not follow each other are left out."""
+    a = best_owner(mismatched, openings).where(F.col("score") >= least).select(F.lit("owner").alias("check"), "unit_id", F.col("owner").alias("other"))
+    b = contained_elsewhere(chunks, units).select(F.lit("chunk").alias("check"), F.col("chunk_id").alias("unit_id"), F.col("unit_id").alias("other"))
+    c = gaps(ops.where("next_id = unit_id + 1"), least=gap).select(F.lit("gap").alias("check"), "unit_id", F.col("next_id").alias("other")).distinct()
+    return a.unionByName(b).unionByName(c)
+
+
+def title_clusters(units: DataFrame, least: float = 0.8) -> DataFrame:
+    """(unit_id, cluster): a new cluster begins where a unit's title is less like that of the id before than ``least``."""
+    before = units.select((F.col("unit_id") + 1).alias("unit_id"), F.col("title").alias("_t"))
+    near = units.join(before, "unit_id", "left").withColumn("_new", F.coalesce(ratio("_t", "title") < least, F.lit(True)))
+    starts = near.where("_new").select("unit_id")
+    return next_start(near.select("unit_id"), starts)
+
+
+def next_start(ids: DataFrame, starts: DataFrame, width: int = 1 << 16) -> DataFrame:
+    """(unit_id, cluster): the last start at or before each id, found in stretches of ids and then among stretches."""
+    from pyspark.sql import Window
+
+    both = ids.select("unit_id", F.floor(F.col("unit_id") / width).alias("_b")).join(starts.select("unit_id", F.col("unit_id").alias("_s")), "unit_id", "left")
+    last = F.last("_s", ignorenulls=True)
+    inside = both.withColumn("_in", last.over(Window.partitionBy("_b").orderBy("unit_id")))
+    ends = both.groupBy("_b").agg(F.max("_s").alias("_e")).select("_b", F.last("_e", ignorenulls=True).over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)).alias("_before"))
+    return inside.join(ends, "_b").select("unit_id", F.coalesce("_in", "_before").alias("cluster"))
 
 
 def directions(units: DataFrame, above: str, below: str) -> DataFrame:

@@ -50,17 +50,26 @@ def form():
     return T.letters(F.lower("word"), T.LATIN)
 
 
+def evidence(spark, sf):
+    """(form, own, other): how often the audited source and all others write a form.
+
+    Both frequencies below come from this one aggregate; the condition asks for both columns, so that a query that uses
+    the two of them shuffles the words once."""
+    n = placed(spark, sf).select(form().alias("form"), (F.col("source") == OWN).alias("mine")).where("form <> ''")
+    return n.groupBy("form").agg(F.count_if("mine").alias("own"), F.count_if(~F.col("mine")).alias("other")).where("own + other > 0")
+
+
 def own(spark, sf):
-    return freq.frequency(placed(spark, sf).where(F.col("source") == OWN), form())
+    return evidence(spark, sf).where("own > 0").select("form", F.col("own").alias("n"))
 
 
 def reference(spark, sf):
-    return freq.frequency(placed(spark, sf).where(F.col("source") != OWN), form())
+    return evidence(spark, sf).where("other > 0").select("form", F.col("other").alias("n"))
 
 
 def trusted_forms(spark, sf):
     good = read(spark, sf, "labels").where("quality = 1").select("doc_id").distinct()
-    return placed(spark, sf).join(good, "doc_id", "left_semi").select(form().alias("form")).where("form <> ''").distinct()
+    return tokens.positioned(docs(spark, sf).join(good, "doc_id", "left_semi")).select(form().alias("form")).where("form <> ''").distinct()
 
 
 def book(spark, sf):
@@ -357,7 +366,7 @@ s AS (SELECT a.conv_id AS unit_id, b.conv_id AS owner, count(*) / CAST(any_value
 SELECT unit_id, owner, score FROM s QUALIFY row_number() OVER (PARTITION BY unit_id ORDER BY score DESC, owner) = 1""")
 def j15(spark, sf):
     c = read(spark, sf, "conversations").select(F.col("conv_id").alias("unit_id"), "turn", T.words(F.lower("text")).alias("ws"))
-    return validate.best_owner(c.where("turn = 0"), c.where("turn = 1"))
+    return validate.most_shared_words(c.where("turn = 0"), c.where("turn = 1"))
 
 
 # ledger

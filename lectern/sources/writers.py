@@ -13,6 +13,29 @@ def json_lines(df: DataFrame, path: str, mode: str = "append") -> None:
     df.write.mode(mode).json(path)
 
 
+# What a ledger's row may decide.
+TYPES = ("candidate_choice", "disputed_choice", "manual_correction", "klal_flag", "punctuation_choice", "witness_choice", "apply_event")
+
+
+def stamped(rows: DataFrame, after: int) -> DataFrame:
+    """Rows with ``seq`` from ``after`` + 1 on, an ``id`` of twelve hex digits and the time in UTC, ready to append.
+
+    A row of another type than a ledger knows is an error when the rows are written, and nothing is appended. seq grows
+    but may leave gaps."""
+    checked = F.when(F.col("decision_type").isin(*TYPES), F.col("decision_type")).otherwise(F.raise_error(F.concat(F.lit("no such decision type: "), F.coalesce("decision_type", F.lit("null")))))
+    return rows.withColumn("decision_type", checked).withColumn("seq", F.monotonically_increasing_id() + after + 1).withColumn("id", F.left(F.replace(F.uuid(), F.lit("-"), F.lit("")), F.lit(12))).withColumn("ts", F.current_timestamp())
+
+
+def append(rows: DataFrame, ledger: DataFrame, path: str) -> None:
+    """New rows behind those of a ledger kept as JSON lines."""
+    json_lines(stamped(rows, ledger.agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]), path)
+
+
+def apply_events(outcomes: DataFrame) -> DataFrame:
+    """The ledger rows that tell which decisions were put into the texts: one for each applied or confirmed."""
+    return outcomes.where(F.col("outcome").isin("applied", "confirmed")).select(F.lit("apply_event").alias("decision_type"), "unit_id", F.col("id").alias("applied_decision_id"))
+
+
 def small_json(df: DataFrame, path: str) -> None:
     """One indented JSON list, streamed row by row; for outputs that fit a file."""
     with open(path, "w", encoding="utf-8") as f:

@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
-from lectern.plans import registry
+from lectern.plans import registry, review  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 
