@@ -17,7 +17,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import batch as rows_of, texts
+from .common import batch as rows_of, texts, tidy
 
 LEAF = 256  # symbols of a leaf
 CACHED = 600_000  # units whose encoding a worker remembers
@@ -160,4 +160,4 @@ def encode_documents(docs: DataFrame, tokenizer: str, *, id: str = "doc_id", tex
             yield rows_of(schema, b.column("id"), n, first, second, *([raw, back] if ids else []))
 
     d = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    return d.mapInArrow(run, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>, decoded string" * ids).withColumnRenamed("id", id)
+    return d.mapInArrow(tidy(run), "id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>, decoded string" * ids).withColumnRenamed("id", id)

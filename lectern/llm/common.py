@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 
@@ -36,6 +37,22 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def tidy(run):
+    """A function for ``mapInArrow`` that gives its worker's free memory back to the system when it is through.
+
+    Workers live on between tasks and stages; what one stage needed at its height would else stay theirs."""
+
+    def through(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except AttributeError:  # another C library than glibc
+            pass
+
+    return through
+
+
 def parts(df: DataFrame, least: int = 1) -> int:
     return max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 

@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import U64, batch as rows_of, grouped, mix, pack, parts, runs, slices, unpack, volume
+from .common import U64, batch as rows_of, grouped, mix, pack, parts, runs, slices, unpack, volume, tidy
 from .induced import suffixes
 
 WIDTH, K = 50, 16
@@ -510,11 +510,11 @@ def remove_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text", w
     blocks = int(min(60_000, max(4, -(-size // block_bytes))))
     p = parts(d)
     small = "bucket int, kind byte, block int, blob binary"
-    shards = d.select("id", "text").mapInArrow(_scan(blocks, width, k), "block int, blob binary").repartition(p, "block").sortWithinPartitions("block")
-    found = shards.mapInArrow(_shard(blocks, width), small).repartition(p, "bucket")
-    held = d.mapInArrow(_texts(blocks, held_columns), "bucket int, blob binary").repartition(p, "bucket").groupBy("bucket")
+    shards = d.select("id", "text").mapInArrow(tidy(_scan(blocks, width, k)), "block int, blob binary").repartition(p, "block").sortWithinPartitions("block")
+    found = shards.mapInArrow(tidy(_shard(blocks, width)), small).repartition(p, "bucket")
+    held = d.mapInArrow(tidy(_texts(blocks, held_columns)), "bucket int, blob binary").repartition(p, "bucket").groupBy("bucket")
     fetched = held.cogroup(found.groupBy("bucket")).applyInArrow(_fetch, "block int, blob binary")
-    exact = fetched.repartition(p, "block").sortWithinPartitions("block").mapInArrow(_sorted(blocks, width), small)
+    exact = fetched.repartition(p, "block").sortWithinPartitions("block").mapInArrow(tidy(_sorted(blocks, width)), small)
     kinds = {c: to_arrow_type(d.schema[c].dataType) for c in held_columns}
     done = held.cogroup(exact.repartition(p, "bucket").groupBy("bucket")).applyInArrow(_finish(keep, kinds), RESULT + "".join(f", {c} {d.schema[c].dataType.simpleString()}" for c in held_columns))
     names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept", "kept_text"] * keep]

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import U64, batch as rows_of, checkpoint, grouped, mix, pack, parts, runs, salted, slices, texts, unpack, volume
+from .common import U64, batch as rows_of, checkpoint, grouped, mix, pack, parts, runs, salted, slices, texts, unpack, volume, tidy
 from .components import components
 
 BLOCK_BYTES = 12 << 20  # text whose shingles make one column block
@@ -290,9 +290,9 @@ def jaccard_components(docs: DataFrame, *, id: str = "doc_id", text: str = "text
     blocks = int(min(60_000, max(4, -(-size // block_bytes))))
     p = parts(d)
     key = "key int, blob binary"
-    one = d.mapInArrow(_incidence(k, blocks, blocks), key).repartition(p, "key").sortWithinPartitions("key")
-    two = one.mapInArrow(_columns(blocks), "key int, kind byte, blob binary").repartition(p, "key").sortWithinPartitions("key")
-    rows = checkpoint(two.mapInArrow(_rows(percent), "id long, uid long, n long, digest binary, kept binary, prefix array<long>"))
+    one = d.mapInArrow(tidy(_incidence(k, blocks, blocks)), key).repartition(p, "key").sortWithinPartitions("key")
+    two = one.mapInArrow(tidy(_columns(blocks)), "key int, kind byte, blob binary").repartition(p, "key").sortWithinPartitions("key")
+    rows = checkpoint(two.mapInArrow(tidy(_rows(percent)), "id long, uid long, n long, digest binary, kept binary, prefix array<long>"))
 
     live = rows.where("kept is not null and n > 0")
     same = live.groupBy("digest").agg(F.min("uid").alias("rep"))
@@ -312,7 +312,7 @@ def jaccard_components(docs: DataFrame, *, id: str = "doc_id", text: str = "text
     end = lambda b, side: F.struct(F.col(f"{b}.size").alias("size"), F.col(f"{b}.i").alias("i"), F.lit(side).alias("side"), task.alias("task"))
     sides = pairs.select(F.col("x.label").alias("label"), F.explode(F.when(F.expr(later), F.array(end("x", 0), end("y", 1))).otherwise(F.array(end("x", 0)))).alias("z")).select("label", "z.*")
     work = member.join(sides, ["label", "size", "i"]).select("uid", "task", "side").join(live.select("uid", "n", "kept"), "uid")
-    forest = work.repartition(p, "task").sortWithinPartitions("task", "side", "uid").mapInArrow(_product(percent), "a long, b long")
+    forest = work.repartition(p, "task").sortWithinPartitions("task", "side", "uid").mapInArrow(tidy(_product(percent)), "a long, b long")
 
     # every row learns the smallest id of its component by its set's digest; rows of one digest are summed first
     label = components(forest).select(F.col("node").alias("rep"), "label")

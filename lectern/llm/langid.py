@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import U64, batch as rows_of, learnable, mix, share, slices, tokens
+from .common import U64, batch as rows_of, learnable, mix, share, slices, tokens, tidy
 
 ORDER = 5
 SIGNS = re.compile(r"[\W\d_]+")
@@ -232,7 +232,7 @@ def _word_counts(docs: DataFrame) -> DataFrame:
                 key, n = np.unique(pair, return_counts=True)
                 yield rows_of(schema, [lang[k // len(names)] for k in key], [words[k % len(names)] for k in key], n)
 
-    return docs.mapInArrow(run, "lang string, word string, n long").where("word <> ''").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    return docs.mapInArrow(tidy(run), "lang string, word string, n long").where("word <> ''").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
 def _entropies(docs: DataFrame, model, columns: str) -> DataFrame:
@@ -243,7 +243,7 @@ def _entropies(docs: DataFrame, model, columns: str) -> DataFrame:
                 entropy, size = scorer.texts(s.column("text"))
                 yield pa.RecordBatch.from_arrays([s.column("lang"), pa.array(list(entropy), pa.list_(pa.float64())), pa.array(size.astype(np.float64))], names=["lang", "entropy", "size"])
 
-    return docs.select("lang", "text").mapInArrow(run, columns)
+    return docs.select("lang", "text").mapInArrow(tidy(run), columns)
 
 
 def train(docs: DataFrame, *, id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES, order: int = ORDER):
@@ -301,4 +301,4 @@ def identify(docs: DataFrame, model, *, id: str = "doc_id", text: str = "text")
                     p, low = np.where(some, p, 0.0), np.where(some, entropy.min(1), np.nan)
                 yield pa.RecordBatch.from_arrays([*s.columns, pa.array(pred), pa.array(p), pa.array(low, mask=np.isnan(low)), pa.array(out)], names=[*s.schema.names, "lang_pred", "lang_score", "lang_entropy", "lang_rejected"])
 
-    return d.mapInArrow(run, f"{kinds}, lang_pred string, lang_score double, lang_entropy double, lang_rejected boolean")
+    return d.mapInArrow(tidy(run), f"{kinds}, lang_pred string, lang_score double, lang_entropy double, lang_rejected boolean")

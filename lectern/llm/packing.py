@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from .common import batch as rows_of, checkpoint, texts
+from .common import batch as rows_of, checkpoint, texts, tidy
 
 CAPACITY, EOS = 1024, 2
 CACHED = 200_000  # units whose ids a worker remembers
@@ -112,7 +112,7 @@ def pieces(docs: DataFrame, tokenizer: str, *, id: str = "doc_id", text: str = "
             yield rows_of(schema, who, piece, start, length, crc)
 
     d = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    return d.mapInArrow(run, "id long, piece int, start long, length long, ids_crc32 long")
+    return d.mapInArrow(tidy(run), "id long, piece int, start long, length long, ids_crc32 long")
 
 
 def fullest(count: dict[int, int], capacity: int) -> dict[int, int]:
@@ -192,7 +192,7 @@ def place(items: DataFrame, *, length: str = "length", order: tuple[str, ...] =
             yield pa.RecordBatch.from_arrays([*[b.column(n) for n in names], pa.array(seq), pa.array(offset)], names=[*names, "sequence_id", "offset"])
 
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema)
-    return ranked.mapInArrow(run, f"{out}, sequence_id long, offset long")
+    return ranked.mapInArrow(tidy(run), f"{out}, sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, *, id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, eos: int = EOS) -> DataFrame:

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import batch as rows_of, learnable, share, slices, tokens
+from .common import batch as rows_of, learnable, share, slices, tokens, tidy
 from .langid import letters
 
 SAMPLE = 4000  # labelled rows of each label from which terms, index and calibration are learnt
@@ -187,7 +187,7 @@ def _term_counts(rows: DataFrame) -> DataFrame:
                         count[f, y] = count.get((f, y), 0) + 1
                 yield rows_of(schema, [k[0] for k in count], [k[1] for k in count], list(count.values()))
 
-    return rows.mapInArrow(run, "term string, toxic int, n long")
+    return rows.mapInArrow(tidy(run), "term string, toxic int, n long")
 
 
 def train(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE, terms: int | None = None, k: int = NEIGHBOURS):
@@ -232,7 +232,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str =
                     yield pa.RecordBatch.from_arrays([s.column("id"), s.column("toxic"), s.column("held"), pa.array([t.tolist() for t, _ in vectors], pa.list_(pa.int64())), pa.array([w.tolist() for _, w in vectors], pa.list_(pa.float64()))], names=["id", "toxic", "held", "term", "w"])
 
         # the bounded sample's vectors: no texts
-        got = d.withColumn("id", F.col("id").cast("long")).mapInArrow(run, "id long, toxic int, held boolean, term array<long>, w array<double>").toPandas().sort_values("id")
+        got = d.withColumn("id", F.col("id").cast("long")).mapInArrow(tidy(run), "id long, toxic int, held boolean, term array<long>, w array<double>").toPandas().sort_values("id")
     finally:
         d.unpersist()
     toxic, held = got["toxic"].to_numpy(), got["held"].to_numpy().astype(bool)
@@ -269,4 +269,4 @@ def toxicity(docs: DataFrame, model, *, text: str = "text") -> DataFrame:
                     evidence = [",".join(f"{i}:{c:.3f}" for i, c in e) for _, e in votes]
                 yield pa.RecordBatch.from_arrays([*s.columns, pa.array(score), pa.array(evidence, pa.string())], names=[*s.schema.names, "toxic_score", "toxic_evidence"])
 
-    return d.mapInArrow(run, f"{kinds}, toxic_score double, toxic_evidence string")
+    return d.mapInArrow(tidy(run), f"{kinds}, toxic_score double, toxic_evidence string")
