@@ -8,6 +8,7 @@ is one row for each text of its block.
 
 from __future__ import annotations
 
+import difflib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 LEFT, RIGHT, WORDS = 8_192, 32_768, 2_000_000  # texts of a block of either side, and words
-CELLS, DENSE = 1 << 20, 512  # cells of a matrix, dense columns
+CELLS, DENSE, PAIRS = 1 << 20, 512, 1 << 16  # cells of a matrix, dense columns, pairs of texts at once
+WIDEST = 64  # words of a text that a machine word can mark; longer texts do with the bound by bags
 
 OUT = pa.schema([("unit_id", pa.int64()), ("owner", pa.int64()), ("score", pa.float64())])
 
@@ -44,6 +46,22 @@ def code(a: Side, b: Side) -> int:
     return len(coded.dictionary)
 
 
+def occurrences(a: Side, b: Side, n: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Codes of (word, how many times it stood in its text before): shared ones count what two bags of words share."""
+    times = []
+    for s in (a, b):
+        order = np.lexsort((s.codes, s.rows))
+        r, c = s.rows[order], s.codes[order]
+        new = np.ones(len(r), bool)
+        new[1:] = (r[1:] != r[:-1]) | (c[1:] != c[:-1])
+        at = np.arange(len(r))
+        t = np.empty(len(r), np.int64)
+        t[order] = at - np.maximum.accumulate(np.where(new, at, 0))
+        times.append(t)
+    both, back = np.unique(np.concatenate([a.codes + n * times[0], b.codes + n * times[1]]), return_inverse=True)
+    return back[: len(a.rows)], back[len(a.rows) :], len(both)
+
+
 def shared(a: Side, b: Side, ca: np.ndarray, cb: np.ndarray, n: int) -> Iterator[tuple[int, int, np.ndarray]]:
     """(first row, last row, matrix): how many codes each of these rows of a shares with every row of b; a code stands
     at most once in a text."""
@@ -109,6 +127,75 @@ def by_sets(a: Side, b: Side, least: int) -> Iterator[tuple]:
             yield lo + row[x], b.ids[col[x]], score[x]
 
 
+def subsequences(a: Side, b: Side, lo: int, hi: int, n: int, wide: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Lengths of the longest common subsequences of pairs (row of lo..hi, row of b), bit-parallel; texts of a of
+    at most WIDEST words. wide: codes of b by word and row, n where a text has ended."""
+    part = slice(a.starts[lo], a.starts[hi])
+    known, place = np.unique(a.codes[part], return_inverse=True)
+    narrow = np.full(n + 1, len(known))
+    narrow[known] = np.arange(len(known))
+    marks = np.zeros((hi - lo, len(known) + 1), np.uint64)
+    bit = np.uint64(1) << (np.arange(part.start, part.stop) - a.starts[a.rows[part]]).astype(np.uint64)
+    np.bitwise_or.at(marks, (a.rows[part] - lo, place), bit)
+    out = np.empty(len(left), np.int64)
+    for at in range(0, len(left), PAIRS):
+        l, r = left[at : at + PAIRS], right[at : at + PAIRS]
+        v = np.full(len(l), ~np.uint64(0))
+        base = l * marks.shape[1]
+        for codes in wide:
+            u = v & marks.ravel()[base + narrow[codes[r]]]
+            v = (v + u) | (v - u)
+        out[at : at + PAIRS] = np.bitwise_count(~v)
+    return out
+
+
+def by_matcher(a: Side, b: Side) -> Iterator[tuple]:
+    """(row, owner, ratio of the matcher over word sequences).
+
+    The words that two texts share, as bags, bound their ratio; so does their longest common subsequence, more closely.
+    The matcher looks at candidates by descending bound and ends where none can be better."""
+    n = code(a, b)
+    ca, cb, size = occurrences(a, b, n)
+    wide = np.full((int(b.sizes.max(initial=0)), len(b.ids)), n)
+    wide[np.arange(len(b.rows)) - b.starts[b.rows], b.rows] = b.codes
+    texts = lambda s: [s.codes[i:j].tolist() for i, j in zip(s.starts[:-1], s.starts[1:])]
+    ta, tb = texts(a), texts(b)
+    same: dict = {}
+    ia, ib = ([same.setdefault(tuple(t), len(same)) for t in s] for s in (ta, tb))
+    seen: dict = {}
+
+    def ratio(i, j):
+        if (pair := (ia[i], ib[j])) not in seen:
+            seen[pair] = difflib.SequenceMatcher(None, ta[i], tb[j], autojunk=False).ratio()
+        return seen[pair]
+
+    for lo, hi, k in shared(a, b, ca, cb, size):
+        forget_own(a, b, lo, hi, k)
+        total = a.sizes[lo:hi, None] + b.sizes[None, :]
+        bound = 2.0 * k / np.maximum(total, 1)
+        top = bound.max(1, initial=0)
+        best, whose = np.zeros(hi - lo), np.zeros(hi - lo, np.int64)
+        # first the candidates near the highest bound, then all others whose bound reaches the best ratio of those
+        for again in (False, True):
+            look = (bound >= np.where(best > 0, best, np.inf)[:, None]) & (bound < 0.8 * top[:, None]) if again else (bound >= 0.8 * top[:, None]) & (bound > 0)
+            left, right = np.nonzero(look)
+            close = bound[left, right]
+            if a.sizes[lo:hi].max() <= WIDEST:
+                close = 2.0 * subsequences(a, b, lo, hi, n, wide, left, right) / total[left, right]
+            order = np.lexsort((right, -close, left))
+            left, right, close = left[order], right[order], close[order]
+            begins = np.searchsorted(left, np.arange(hi - lo + 1))
+            for i in range(hi - lo):
+                for x in range(begins[i], begins[i + 1]):
+                    if close[x] < best[i] or (close[x] == best[i] and b.ids[right[x]] >= whose[i]):
+                        break  # behind it are lower bounds, and larger ids of equals
+                    r, o = ratio(lo + i, right[x]), b.ids[right[x]]
+                    if r > best[i] or (r == best[i] and o < whose[i]):
+                        best[i], whose[i] = r, o
+        for i in np.flatnonzero(best > 0):
+            yield lo + i, whose[i], best[i]
+
+
 def most_alike(left: DataFrame, right: DataFrame, search: Callable[[Side, Side], Iterator[tuple]], *, sets: bool = False) -> DataFrame:
     """(unit_id, owner, score): of each text of left (unit_id, ws) the best of right (unit_id, ws) that has another id,
     the smaller one of equals; ids are whole numbers, texts without words or id take no part.

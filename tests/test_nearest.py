@@ -1,5 +1,6 @@
 """Best matches among all pairs of texts, against brute force and DuckDB."""
 
+import difflib
 import random
 
 import duckdb
@@ -72,3 +73,17 @@ def test_best_owner_rows_of_one_conversation_and_turn_are_one_text(spark, tmp_pa
     db.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet'")
     want = sorted(db.execute(registry.ORACLE["j15_best_owner"]).fetchall())
     assert want and sorted(map(tuple, registry.QUERIES["j15_best_owner"](spark, str(tmp_path)).collect())) == want
+
+@pytest.mark.parametrize("words, longest", [(50, 12), (50, 70), (80, 90)])
+def test_best_owner(spark, small_blocks, words, longest):
+    a, b = texts(3, 30, 25, 20, longest), texts(4, 30, 25, 20, longest)
+    b += [(i + 30, ws) for i, ws in a[:5]]  # copies
+    want = {}
+    for i, x in a:
+        pairs = ((difflib.SequenceMatcher(None, x[:words], y[:words], autojunk=False).ratio(), -o) for o, y in b if o != i)
+        best = max([*pairs, (-want[i][0], want[i][1])[::-1]] if i in want else pairs, default=(0, 0))
+        if best[0] > 0:
+            want[i] = (-best[1], best[0])
+    got = validate.best_owner(frame(spark, a), frame(spark, b), words)
+    assert found(got) == want
+    assert not joins(got)  # no row for a pair that shares a word
